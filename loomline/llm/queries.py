@@ -57,10 +57,38 @@ def p6_cutoffs(spark: SparkSession, d: str) -> DataFrame:
     return cutoff_report(table(spark, d, "mining_lines"), table(spark, d, "keep_targets"))
 
 
+def p7_ids(spark: SparkSession, d: str) -> DataFrame:
+    from loomline.llm.bpe import encode_corpus, session_vocab
+
+    return encode_corpus(table(spark, d, "documents"), path=session_vocab(spark))
+
+
+def p7_round_trip(spark: SparkSession, d: str) -> DataFrame:
+    """Tokens of each document, and whether they decode to its text (null and empty: to '')."""
+    from loomline.llm.bpe import decode_ids, encode_corpus, session_vocab
+
+    docs, vocab = table(spark, d, "documents"), session_vocab(spark)
+    back = encode_corpus(docs, path=vocab).select("doc_id", F.size("ids").alias("tokens"), F.coalesce(decode_ids(F.col("ids"), vocab), F.lit("")).alias("decoded"))
+    return docs.select("doc_id", "text").join(back, "doc_id").select("doc_id", "tokens", (F.coalesce("text", F.lit("")) == F.col("decoded")).alias("same"))
+
+
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    from loomline.llm.splitting import split_oversized
+
+    return split_oversized(table(spark, d, "documents")).where("piece_no = 1").select(F.col("id").alias("doc_id"))
+
+
+def p9_pieces(spark: SparkSession, d: str) -> DataFrame:
+    from loomline.llm.splitting import split_oversized
+
+    return split_oversized(table(spark, d, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def queries() -> dict:
     return {
         "p1_found": p1_found, "p1_records": p1_records, "p2_found": p2_found, "p2_neighbors": p2_neighbors,
         "p3_found": p3_found, "p3_rates": p3_rates, "p6_found": p6_found, "p6_cutoffs": p6_cutoffs,
+        "p7_ids": p7_ids, "p7_round_trip": p7_round_trip, "p9_found": p9_found, "p9_pieces": p9_pieces,
     }
 
 
