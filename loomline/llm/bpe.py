@@ -3,7 +3,7 @@
 Texts are cut into pre-tokens once, in blocks of documents that number their distinct
 pre-tokens. Each distinct pre-token of the corpus is encoded once, by a Spark higher-order
 fold that merges the pair of lowest rank in its array of byte ids until none is left; the ranks
-are a literal, hashed into buckets. The ids then go back to the blocks that need them.
+are a literal table. The ids then go back to the blocks that need them.
 """
 
 from __future__ import annotations
@@ -33,8 +33,8 @@ BLOCK_DOCS, BLOCK_WORDS = 2_000, 50_000
 #: Pre-tokens of more bytes than this are merged by a heap in Python: the fold takes time with
 #: the cube of the length.
 LONG = 48
-_BUCKETS = 16_384
-_NONE = 2**31 - 1
+#: Entries of the rank table below this are of the wanted pair.
+_FOUND = 1 << 32
 
 
 def _byte_chars() -> dict[int, str]:
@@ -64,8 +64,36 @@ def vocabulary(path: str = VOCAB) -> tuple[bytes, dict[int, int], list[bytes]]:
     return bytes(ids[chars[b]] for b in range(256)), merges, pieces
 
 
-def _bucket(pair: int) -> int:
-    return ((pair >> 16) * 40_503 + (pair & 0xFFFF) * 977) % _BUCKETS
+@functools.lru_cache(maxsize=2)
+def _rank_table(path: str) -> tuple[list[int], list[int]]:
+    """The merges as a sparse table (base, slots): the entry of a pair stands at base[left] + right
+    and holds left << 44 | merged << 12. Left ids with many partners are placed first, each
+    at the first base where all its entries find free slots."""
+    merges = vocabulary(path)[1]
+    rows: dict[int, list[int]] = {}
+    for pair in merges:
+        rows.setdefault(pair >> 16, []).append(pair & 0xFFFF)
+    ids = len(vocabulary(path)[2])
+    free = np.ones(16 * ids, bool)
+    base, start, span = np.zeros(ids, np.int64), 0, 2_048
+    for left, rights in sorted(rows.items(), key=lambda x: (-len(x[1]), x[0])):
+        at = np.array(sorted(rights))
+        start += int(np.argmax(free[start:]))  # the slots before are full
+        b = max(0, start - int(at[0]))
+        while True:
+            fits = free[b + at[0] : b + at[0] + span].copy()
+            for a in at[1:]:
+                fits &= free[b + a : b + a + span]
+            if fits.any():
+                b += int(np.argmax(fits))
+                break
+            b += span
+        free[at + b] = False
+        base[left] = b
+    slots = np.full(int(np.flatnonzero(~free)[-1]) + 1, 65_535 << 44, np.int64)
+    for pair, merged in merges.items():
+        slots[base[pair >> 16] + (pair & 0xFFFF)] = ((pair >> 16) << 44) | (merged << 12)
+    return base.tolist(), slots.tolist()
 
 
 def _let(value: Column, body) -> Column:
@@ -78,30 +106,27 @@ def fold_merges(word: Column, path: str = VOCAB) -> Column:
     One step of the fold replaces the leftmost pair of the lowest rank; merged ids are numbered
     in rank order, so the smallest merged id is that of the lowest rank.
     """
-    _, merges, _ = vocabulary(path)
-    keys: list[list[int]] = [[] for _ in range(_BUCKETS)]
-    vals: list[list[int]] = [[] for _ in range(_BUCKETS)]
-    for pair, merged in merges.items():
-        keys[_bucket(pair)].append(pair)
-        vals[_bucket(pair)].append(merged)
-    key_map = F.from_json(F.lit(json.dumps(keys, separators=(",", ":"))), "array<array<bigint>>")
-    val_map = F.from_json(F.lit(json.dumps(vals, separators=(",", ":"))), "array<array<int>>")
-
-    def merged(left: Column, right: Column) -> Column:
-        at = ((left * 40_503 + right * 977) % _BUCKETS).cast("int")
-        place = F.array_position(F.get(key_map, at), (left.cast("bigint") * 65_536 + right)).cast("int") - 1
-        return F.coalesce(F.get(F.get(val_map, at), place), F.lit(_NONE))
-
-    def step(acc: Column, _: Column) -> Column:
-        parts = acc["parts"]
-        best = F.array_min(F.transform(F.sequence(F.lit(0), F.size(parts) - 2), lambda j: F.struct(merged(F.get(parts, j), F.get(parts, j + 1)).alias("m"), j.alias("j"))))
-        joined = lambda b: F.concat(F.slice(parts, F.lit(1), b["j"]), F.array(b["m"]), F.slice(parts, b["j"] + 3, F.size(parts)))
-        after = _let(best, lambda b: F.when(b["m"] == _NONE, F.struct(parts.alias("parts"), F.lit(True).alias("done"))).otherwise(F.struct(joined(b).alias("parts"), F.lit(False).alias("done"))))
-        return F.when(acc["done"] | (F.size(parts) < 2), acc).otherwise(after)
-
-    first = F.transform(F.sequence(F.lit(1), F.length(word)), lambda i: F.ascii(F.substring(word, i, F.lit(1))))
-    start = F.struct(first.alias("parts"), F.lit(False).alias("done"))
-    return F.aggregate(F.sequence(F.lit(1), F.length(word)), start, step)["parts"]
+    base, slots = (F.from_json(F.lit(json.dumps(x, separators=(",", ":"))), "array<bigint>") for x in _rank_table(path))
+    # bound once: every mention of a literal of this size would be planned and shipped anew
+    return _let(F.struct(base.alias("base"), slots.alias("slots")), lambda ranks: _fold(word, ranks))
+
+
+def _fold(word: Column, ranks: Column) -> Column:
+    def step(parts: Column, _: Column) -> Column:
+        # Of each pair: its merged id << 12 | its place. An entry of another left id keeps high bits
+        # after the exclusive or, so it is never the least; beyond the last part there is null.
+        rank = lambda x, i: F.get(ranks["slots"], F.get(ranks["base"], x) + F.get(parts, i + 1)).bitwiseXOR(F.shiftleft(x, 44)) + i
+
+        def join(b: Column) -> Column:
+            # transform and filter are far cheaper than slice and concat when interpreted
+            at = b.bitwiseAND(4_095)
+            put = F.transform(parts, lambda x, i: F.when(i == at, F.shiftright(b, 12)).when(i != at + 1, x))
+            return F.filter(put, lambda x: x.isNotNull())
+
+        return _let(F.array_min(F.transform(parts, rank)), lambda b: F.when(b < _FOUND, join(b)).otherwise(parts))
+
+    first = F.transform(F.sequence(F.lit(1), F.length(word)), lambda i: F.ascii(F.substring(word, i, F.lit(1))).cast("bigint"))
+    return F.aggregate(F.sequence(F.lit(2), F.length(word)), first, step).cast("array<int>")
 
 
 def merge_word(ids: list[int], merges: dict[int, int]) -> list[int]:
