@@ -72,6 +72,20 @@ def p7_round_trip(spark: SparkSession, d: str) -> DataFrame:
     return docs.select("doc_id", "text").join(back, "doc_id").select("doc_id", "tokens", (F.coalesce("text", F.lit("")) == F.col("decoded")).alias("same"))
 
 
+def p8_mixture(spark: SparkSession, d: str) -> DataFrame:
+    from loomline.llm.bpe import token_counts
+    from loomline.llm.mixing import mix
+
+    return mix(table(spark, d, "documents"), table(spark, d, "mix_targets"), token_counts)[0]
+
+
+def p8_shares(spark: SparkSession, d: str) -> DataFrame:
+    from loomline.llm.bpe import token_counts
+    from loomline.llm.mixing import mix, shares
+
+    return shares(*mix(table(spark, d, "documents"), table(spark, d, "mix_targets"), token_counts))
+
+
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
     from loomline.llm.splitting import split_oversized
 
@@ -88,7 +102,7 @@ def queries() -> dict:
     return {
         "p1_found": p1_found, "p1_records": p1_records, "p2_found": p2_found, "p2_neighbors": p2_neighbors,
         "p3_found": p3_found, "p3_rates": p3_rates, "p6_found": p6_found, "p6_cutoffs": p6_cutoffs,
-        "p7_ids": p7_ids, "p7_round_trip": p7_round_trip, "p9_found": p9_found, "p9_pieces": p9_pieces,
+        "p7_ids": p7_ids, "p7_round_trip": p7_round_trip, "p8_mixture": p8_mixture, "p8_shares": p8_shares, "p9_found": p9_found, "p9_pieces": p9_pieces,
     }
 
 
