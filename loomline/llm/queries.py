@@ -45,6 +45,26 @@ def p3_rates(spark: SparkSession, d: str) -> DataFrame:
     return overlap_rates(table(spark, d, "eval_lines"), table(spark, d, "train_lines"))
 
 
+def _p5_scored(spark: SparkSession, d: str) -> DataFrame:
+    from loomline.llm.abuse import latest, score_texts
+
+    return score_texts(latest(table(spark, d, "test_input_de"), "sent_id", "made_at", ["mt", "source"]), "sent_id", "mt", ("source",))
+
+
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    return _p5_scored(spark, d).where("abusive").select("sent_id")
+
+
+def p5_scores(spark: SparkSession, d: str) -> DataFrame:
+    return _p5_scored(spark, d)
+
+
+def p5_rates(spark: SparkSession, d: str) -> DataFrame:
+    from loomline.llm.abuse import abuse_rates
+
+    return abuse_rates(_p5_scored(spark, d))
+
+
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     from loomline.llm.cutoff import kept_records
 
@@ -101,7 +121,7 @@ def p9_pieces(spark: SparkSession, d: str) -> DataFrame:
 def queries() -> dict:
     return {
         "p1_found": p1_found, "p1_records": p1_records, "p2_found": p2_found, "p2_neighbors": p2_neighbors,
-        "p3_found": p3_found, "p3_rates": p3_rates, "p6_found": p6_found, "p6_cutoffs": p6_cutoffs,
+        "p3_found": p3_found, "p3_rates": p3_rates, "p5_found": p5_found, "p5_scores": p5_scores, "p5_rates": p5_rates, "p6_found": p6_found, "p6_cutoffs": p6_cutoffs,
         "p7_ids": p7_ids, "p7_round_trip": p7_round_trip, "p8_mixture": p8_mixture, "p8_shares": p8_shares, "p9_found": p9_found, "p9_pieces": p9_pieces,
     }
 
