@@ -45,6 +45,29 @@ def p3_rates(spark: SparkSession, d: str) -> DataFrame:
     return overlap_rates(table(spark, d, "eval_lines"), table(spark, d, "train_lines"))
 
 
+def _langs(spark: SparkSession, d: str) -> list[str]:
+    """The languages of the fixed configuration table."""
+    return sorted(r.lang for r in table(spark, d, "lid_config").select("lang").where("lang IS NOT NULL").distinct().collect())
+
+
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    from loomline.llm.lid import language_cases
+
+    return language_cases(table(spark, d, "documents"), _langs(spark, d))
+
+
+def p4_documents(spark: SparkSession, d: str) -> DataFrame:
+    from loomline.llm.lid import document_languages
+
+    return document_languages(table(spark, d, "documents"), _langs(spark, d))
+
+
+def p4_counts(spark: SparkSession, d: str) -> DataFrame:
+    from loomline.llm.lid import document_languages, filter_counts
+
+    return filter_counts(document_languages(table(spark, d, "documents"), _langs(spark, d)), table(spark, d, "lid_config"))
+
+
 def _p5_scored(spark: SparkSession, d: str) -> DataFrame:
     from loomline.llm.abuse import latest, score_texts
 
@@ -121,7 +144,7 @@ def p9_pieces(spark: SparkSession, d: str) -> DataFrame:
 def queries() -> dict:
     return {
         "p1_found": p1_found, "p1_records": p1_records, "p2_found": p2_found, "p2_neighbors": p2_neighbors,
-        "p3_found": p3_found, "p3_rates": p3_rates, "p5_found": p5_found, "p5_scores": p5_scores, "p5_rates": p5_rates, "p6_found": p6_found, "p6_cutoffs": p6_cutoffs,
+        "p3_found": p3_found, "p3_rates": p3_rates, "p4_found": p4_found, "p4_documents": p4_documents, "p4_counts": p4_counts, "p5_found": p5_found, "p5_scores": p5_scores, "p5_rates": p5_rates, "p6_found": p6_found, "p6_cutoffs": p6_cutoffs,
         "p7_ids": p7_ids, "p7_round_trip": p7_round_trip, "p8_mixture": p8_mixture, "p8_shares": p8_shares, "p9_found": p9_found, "p9_pieces": p9_pieces,
     }
 
