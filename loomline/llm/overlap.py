@@ -38,13 +38,14 @@ def _shingles(words: Column) -> Column:
     """Word bigrams with a mark before the first word and after the last (n + 1 of n words),
     repeats numbered, so that the list is a set."""
     padded = F.concat(F.array(F.lit("\u0002")), words, F.array(F.lit("\u0003")))
-    pairs = F.transform(F.sequence(F.lit(1), F.size(words) + 1), lambda i: F.xxhash64(F.element_at(padded, i), F.element_at(padded, i + 1)))
-    return pairs
+    # bound by a lambda, so that the text is split once and not at every shingle
+    pairs = F.transform(F.array(padded), lambda p: F.transform(F.sequence(F.lit(0), F.size(p) - 2), lambda i: F.xxhash64(F.get(p, i), F.get(p, i + 1))))
+    return F.get(pairs, 0)
 
 
 def _numbered(df: DataFrame, col: str) -> DataFrame:
     """Repeats within a line get their own identity: (shingle, how many times before)."""
-    nth = F.expr(f"transform({col}, (z, i) -> IF(array_position({col}, z) = i + 1, z, xxhash64(z, size(filter(slice({col}, 1, i), y -> y = z)))))")
+    nth = F.expr(f"IF(size(array_distinct({col})) = size({col}), {col}, transform({col}, (z, i) -> IF(array_position({col}, z) = i + 1, z, xxhash64(z, size(filter(slice({col}, 1, i), y -> y = z))))))")
     return df.withColumn(col, nth)
 
 
