@@ -42,6 +42,11 @@ SCRIPTS = {
 SCRIPTLESS = r"[\t-\r -@\[-`{-~]"
 
 
+def let(value: Column, body) -> Column:
+    """Bind a value that the body uses several times, so that it is computed once."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def script_class(name: str) -> str:
     return "[" + "".join(f"\\x{{{a:X}}}-\\x{{{b:X}}}" for a, b in SCRIPTS[name]) + "]"
 
@@ -144,10 +149,8 @@ def demojize(c: Column, by: str = "") -> Column:
 
 def char_ngrams(c: Column, order: int) -> Column:
     """Character n-grams of a text without blanks; a shorter text has none."""
-    bare = F.replace(c, F.lit(" "), F.lit(""))
-    return F.when(F.length(bare) < order, F.expr("array()").cast("array<string>")).otherwise(
-        F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(bare) - order + 1)), lambda i: F.substring(bare, i, F.lit(order)))
-    )
+    parts = lambda bare: F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(bare) - order + 1)), lambda i: F.substring(bare, i, F.lit(order)))
+    return let(F.replace(c, F.lit(" "), F.lit("")), lambda bare: F.when(F.length(bare) < order, F.expr("array()").cast("array<string>")).otherwise(parts(bare)))
 
 
 def shingles(c: Column, order: int = 5) -> Column:
@@ -168,13 +171,18 @@ def longest_run(c: Column) -> Column:
 
 
 def script_counts(c: Column) -> Column:
-    bare = F.regexp_replace(c, SCRIPTLESS, "")
-    return F.array(*(F.struct(count_of(bare, script_class(n)).alias("n"), F.lit(n).alias("script")) for n in SCRIPTS))
+    one = lambda bare, n: F.struct(count_of(bare, script_class(n)).alias("n"), F.lit(n).alias("script"))
+    # a text of one script, the usual case, needs one look
+    latin = lambda bare: F.array(F.struct(F.length(bare).alias("n"), F.lit("Latn").alias("script")))
+    return let(F.regexp_replace(c, SCRIPTLESS, ""), lambda bare: F.when(bare.rlike("^" + script_class("Latn") + "*$"), latin(bare)).otherwise(F.array(*(one(bare, n) for n in SCRIPTS))))
 
 
 def predict_script(counts: Column) -> Column:
     """struct(script, share) of script_counts(); null and 0 without letters or where all present scripts tie."""
-    seen = F.filter(counts, lambda x: x["n"] > 0)
+    return let(F.filter(counts, lambda x: x["n"] > 0), _script_of)
+
+
+def _script_of(seen: Column) -> Column:
     total = F.aggregate(seen, F.lit(0), lambda a, x: a + x["n"])
     # of equal counts the first name wins
     top = F.get(F.array_sort(F.transform(seen, lambda x: F.struct((-x["n"]).alias("n"), x["script"].alias("script")))), 0)
@@ -191,7 +199,7 @@ def toxicity_tokens(c: Column) -> Column:
 
 def listed(c: Column, words: list[str]) -> Column:
     """Entries of a word list that a tokenized text contains."""
-    return F.filter(F.array(*(F.lit(w) for w in words)), lambda w: F.contains(c, F.concat(F.lit(" "), w, F.lit(" "))))
+    return let(c, lambda t: F.filter(F.array(*(F.lit(w) for w in words)), lambda w: F.contains(t, F.concat(F.lit(" "), w, F.lit(" ")))))
 
 
 def toxicity_count(c: Column, words: list[str]) -> Column:
@@ -217,7 +225,7 @@ def sentences(c: Column) -> Column:
 def merge_subwords(tokens: Column) -> Column:
     """Word number (from 0) of each sub-word: one begins at the first token, at ▁, __ and <."""
     starts = F.transform(tokens, lambda t, i: ((i == 0) | t.startswith("▁") | t.startswith("__") | t.startswith("<")).cast("int"))
-    return F.transform(starts, lambda _, i: F.aggregate(F.slice(starts, F.lit(1), i + 1), F.lit(0), lambda a, x: a + x) - 1)
+    return let(starts, lambda s: F.transform(s, lambda _, i: F.aggregate(F.slice(s, F.lit(1), i + 1), F.lit(0), lambda a, x: a + x) - 1))
 
 
 def parse_alignment(c: Column, reverse: bool = False, one_indexed: bool = False, one_add: bool = False) -> Column:
@@ -234,11 +242,8 @@ def parse_alignment(c: Column, reverse: bool = False, one_indexed: bool = False,
 
 def nfkc(by: str = "NFKC"):
     """Unicode normal form as an Arrow UDF; Spark has no built-in one."""
-    import pandas as pd
-
-    @F.pandas_udf("string")
-    def run(s: pd.Series) -> pd.Series:
+    def run(s):
         return s.map(lambda x: unicodedata.normalize(by, x) if x is not None else None)
 
-    return run
+    return F.pandas_udf(run, "string", F.PandasUDFType.SCALAR)
 

@@ -18,7 +18,11 @@ def bleu(df: DataFrame, group: str, id_col: str, hyp: str, ref: str, most: int =
     """Corpus BLEU per group: clipped n-gram precisions, geometric mean, brevity penalty; 0 if a precision is 0."""
     w = df.select(F.col(group).alias("g"), F.col(id_col).alias("i"), F.split(F.col(hyp), " ").alias("h"), F.split(F.col(ref), " ").alias("r"))
     lengths = w.groupBy("g").agg(F.sum(F.size("h")).alias("hyp_len"), F.sum(F.size("r")).alias("ref_len"))
-    tagged = lambda c, side: F.flatten(F.array(*(F.transform(_grams(F.col(c), n), lambda x, n=n: F.struct(F.lit(n).alias("n"), x.alias("x"), F.lit(side).alias("s"))) for n in range(1, most + 1))))
+    def tagged(c: str, side: int) -> Column:
+        # a lambda of a higher-order function takes its second argument as the index, so n is bound outside
+        of = lambda n: F.transform(_grams(F.col(c), n), lambda x: F.struct(F.lit(n).alias("n"), x.alias("x"), F.lit(side).alias("s")))
+        return F.flatten(F.array(*(of(n) for n in range(1, most + 1))))
+
     one = w.select("g", "i", F.inline(F.concat(tagged("h", 0), tagged("r", 1))))
     per = one.groupBy("g", "i", "n", "x").agg(F.count_if(F.col("s") == 0).alias("ch"), F.count_if(F.col("s") == 1).alias("cr"))
     by_n = per.groupBy("g", "n").agg(F.sum(F.least("ch", "cr")).alias("hit"), F.sum("ch").alias("all"))
@@ -49,11 +53,12 @@ def contribution_metrics(m: Column, n_src: Column) -> Column:
     by_tgt, top_tgt = F.transform(sc, total), F.transform(sc, F.array_max)
     by_src, top_src = F.transform(columns, total), F.transform(columns, F.array_max)
     share = lambda a, f: F.size(F.filter(a, f)) / F.size(a)
+    at_least = lambda t: lambda x: x >= t / 100
     whole = total(by_tgt)
     without_last = F.transform(sc, lambda row: total(F.slice(row, F.lit(1), n_src - 1)))
     return F.struct(
         mean(by_tgt).alias("avg_sc"), F.array_min(by_tgt).alias("min_sc"), mean(top_tgt).alias("top_sc_mean"), F.array_min(top_tgt).alias("top_sc_min"),
-        *(share(by_tgt, lambda x, t=t: x >= t / 100).alias(f"sc_above_{t}") for t in (50, 40, 30, 20, 10)),
+        *(share(by_tgt, at_least(t)).alias(f"sc_above_{t}") for t in (50, 40, 30, 20, 10)),
         (1 - total(F.transform(sc, lambda row: F.element_at(row, -1))) / whole).alias("sc_share_wo_eos"), mean(without_last).alias("avg_sc_wo_eos"),
         F.when(F.size(by_tgt) > 1, mean(F.slice(by_tgt, F.lit(2), F.size(by_tgt)))).alias("avg_sc_wo_lang"),
         total(F.transform(by_tgt, lambda x: -(x / whole) * F.ln(x / whole))).alias("sc_entropy"),
@@ -87,11 +92,26 @@ def mlp_scores(df: DataFrame, id_col: str, features: str, layers: list[tuple[np.
     return df.select(F.col(id_col).alias("id"), F.col(features).alias("x")).mapInArrow(run, f"id {kind}, score double")
 
 
-def hashed_embedding(c: Column, dim: int = 64, order: int = 3) -> Column:
-    """Deterministic stand-in for a sentence encoder: signed hashed character n-grams, unit length."""
-    from loomline.functions.text import shingles
-    from loomline.functions.vector import l2_normalize
+def hashed_embedding(df: DataFrame, id_col: str, text: str, dim: int = 64, order: int = 3) -> DataFrame:
+    """(id, embedding): deterministic stand-in for a sentence encoder: signed hashed character n-grams, unit length.
+    Any function of this shape can take its place. A null or empty text has a zero vector."""
 
-    grams = F.transform(shingles(F.lower(c), order), F.xxhash64)
-    at = lambda j: F.aggregate(grams, F.lit(0.0), lambda s, h: s + F.when(F.pmod(h, F.lit(dim)) == j, F.when(F.pmod(F.shiftright(h, 32), F.lit(2)) == 0, 1.0).otherwise(-1.0)).otherwise(0.0))
-    return l2_normalize(F.transform(F.sequence(F.lit(0), F.lit(dim - 1)), at))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = np.zeros((b.num_rows, dim), np.float64)
+            for i, t in enumerate(b.column("t").to_pylist()):
+                c = np.frombuffer((t or "").lower().encode("utf-32-le"), np.uint32).astype(np.uint64)
+                if len(c):
+                    n = max(1, len(c) - order + 1)
+                    h = np.zeros(n, np.uint64)
+                    for k in range(min(order, len(c))):
+                        h = (h ^ c[k : k + n]) * np.uint64(0x9E3779B97F4A7C15)
+                        h ^= h >> np.uint64(29)
+                    h = np.unique(h)
+                    np.add.at(rows[i], (h % np.uint64(dim)).astype(np.int64), np.where(h >> np.uint64(63), 1.0, -1.0))
+            rows /= np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-12)
+            flat = pa.FixedSizeListArray.from_arrays(pa.array(rows.astype(np.float32).reshape(-1)), dim).cast(pa.list_(pa.float32()))
+            yield pa.record_batch([b.column("id"), flat], names=["id", "embedding"])
+
+    kind = dict(df.dtypes)[id_col]
+    return df.select(F.col(id_col).alias("id"), F.col(text).alias("t")).mapInArrow(run, f"id {kind}, embedding array<float>")

@@ -111,7 +111,7 @@ def keep_text(
 ) -> Column:
     """Whether a sentence has plausible length and character shares; null for null."""
     n = F.length(c)
-    share = lambda p: T.count_of(c, p) / n
+    share = lambda p: F.coalesce(F.try_divide(T.count_of(c, p), n), F.lit(0.0))
     space = share(r"[\t-\r ]")
     ok = (n >= min_chars) & (n <= max_chars) & (n > 0)
     ok = ok & (share(T.PUNCT) <= max_punct) & (share("[0-9]") <= max_number) & space.between(min_space, max_space) & (share(T.EMOJI) <= max_emoji)

@@ -84,7 +84,7 @@ def _block(dim: int, k: int):
     def run(q: pa.Table, x: pa.Table) -> pa.Table:
         out: list[tuple] = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))]
         if q.num_rows and x.num_rows:
-            qi, qe, xi, xe = q.column("id").to_numpy(), _units(q.column("vec"), dim), x.column("id").to_numpy(), _units(x.column("vec"), dim)
+            qi, qe, xi, xe = q.column("id").to_numpy(), _units(q.column("vec"), dim), x.column("xid").to_numpy(), _units(x.column("xvec"), dim)
             out += [_top(qi[a : a + 512], qe[a : a + 512], xi[b : b + 4_096], xe[b : b + 4_096], k) for a in range(0, len(qi), 512) for b in range(0, len(xi), 4_096)]
         return pa.table([np.concatenate([o[i] for o in out]) for i in range(3)], names=["q_id", "x_id", "cos"])
 
@@ -105,7 +105,7 @@ def exact_neighbors(queries: DataFrame, index: DataFrame, dim: int, k: int = 5,
     nq, nx = queries.count(), index.count()
     bq, bx = max(1, -(-nq // block_rows)), max(1, -(-nx // block_rows))
     q = queries.select("id", "vec", F.pmod(F.xxhash64("id"), F.lit(bq)).cast("int").alias("qb")).withColumn("xb", F.explode(F.sequence(F.lit(0), F.lit(bx - 1))))
-    x = index.select("id", "vec", F.pmod(F.xxhash64("id"), F.lit(bx)).cast("int").alias("xb2")).withColumn("qb2", F.explode(F.sequence(F.lit(0), F.lit(bq - 1))))
+    x = index.select(F.col("id").alias("xid"), F.col("vec").alias("xvec"), F.pmod(F.xxhash64("id"), F.lit(bx)).cast("int").alias("xb2")).withColumn("qb2", F.explode(F.sequence(F.lit(0), F.lit(bq - 1))))
     found = q.groupBy("qb", "xb").cogroup(x.groupBy("qb2", "xb2")).applyInArrow(_block(dim, k + 1), "q_id long, x_id long, cos double")
     return _ranked(found, k)
 
@@ -151,9 +151,9 @@ def cell_neighbors(queries: DataFrame, index: DataFrame, dim: int, k: int = 5, c
     x = written(index.select("id", "vec").mapInArrow(_assign(centres, dim, 1), "id long, vec array<float>, cell int"), "cells")
     q = queries.select("id", "vec").mapInArrow(_assign(centres, dim, probes), "id long, vec array<float>, cell int")
     parts = F.broadcast(x.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / part_rows).cast("int").alias("parts")))  # at most `cells` rows
-    xp = x.join(parts, "cell").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
-    qp = q.join(parts, "cell").withColumn("part2", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).withColumnRenamed("cell", "cell2")
-    found = qp.groupBy("cell2", "part2").cogroup(xp.groupBy("cell", "part")).applyInArrow(_block(dim, k + 1), "q_id long, x_id long, cos double")
+    xp = x.join(parts, "cell").select(F.col("id").alias("xid"), F.col("vec").alias("xvec"), F.col("cell").alias("xcell"), F.pmod(F.xxhash64("id"), F.col("parts")).cast("int").alias("xpart"))
+    qp = q.join(parts, "cell").select("id", "vec", F.col("cell").alias("qcell"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("qpart"))
+    found = qp.groupBy("qcell", "qpart").cogroup(xp.groupBy("xcell", "xpart")).applyInArrow(_block(dim, k + 1), "q_id long, x_id long, cos double")
     return _ranked(found, k)
 
 

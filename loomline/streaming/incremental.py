@@ -10,14 +10,19 @@ from pyspark.sql import functions as F
 from loomline.session import scratch_dir
 
 
+def _timed(stream: DataFrame, time: str) -> DataFrame:
+    """Event times without a zone are taken in the session's."""
+    return stream.withColumn(time, F.col(time).cast("timestamp"))
+
+
 def first_seen(stream: DataFrame, keys: list[str], time: str, delay: str = "1 hour") -> DataFrame:
     """Rows whose key wasn't seen within the watermark before; state older than the delay is dropped."""
-    return stream.withWatermark(time, delay).dropDuplicatesWithinWatermark(keys)
+    return _timed(stream, time).withWatermark(time, delay).dropDuplicatesWithinWatermark(keys)
 
 
 def windowed_counts(stream: DataFrame, time: str, key: str, width: str = "1 day", delay: str = "1 day") -> DataFrame:
     """Counts per key in tumbling windows; late rows within the delay are counted."""
-    return stream.withWatermark(time, delay).groupBy(F.window(time, width).alias("w"), key).agg(F.count(F.lit(1)).alias("n")).select(F.col("w.start").alias("start"), key, "n")
+    return _timed(stream, time).withWatermark(time, delay).groupBy(F.window(time, width).alias("w"), key).agg(F.count(F.lit(1)).alias("n")).select(F.col("w.start").alias("start"), key, "n")
 
 
 def run_once(spark: SparkSession, out: DataFrame, mode: str = "append") -> DataFrame:
