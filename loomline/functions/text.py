@@ -150,14 +150,13 @@ def demojize(c: Column, by: str = "") -> Column:
 def char_ngrams(c: Column, order: int) -> Column:
     """Character n-grams of a text without blanks; a shorter text has none."""
     parts = lambda bare: F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(bare) - order + 1)), lambda i: F.substring(bare, i, F.lit(order)))
-    return let(F.replace(c, F.lit(" "), F.lit("")), lambda bare: F.when(F.length(bare) < order, F.expr("array()").cast("array<string>")).otherwise(parts(bare)))
+    return let(F.replace(c, F.lit(" "), F.lit("")), lambda bare: F.when(bare.isNull(), F.lit(None)).when(F.length(bare) < order, F.expr("array()").cast("array<string>")).otherwise(parts(bare)))
 
 
 def shingles(c: Column, order: int = 5) -> Column:
     """Distinct character n-grams, blanks included; of a shorter text the text itself."""
-    return F.array_distinct(
-        F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(c) - order + 1)), lambda i: F.substring(c, i, F.lit(order)))
-    )
+    parts = F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(c) - order + 1)), lambda i: F.substring(c, i, F.lit(order)))
+    return F.when(c.isNotNull(), F.array_distinct(parts))
 
 
 def count_of(c: Column, pattern: str) -> Column:

@@ -10,6 +10,8 @@ from loomline.operators import dedup as D
 from loomline.operators import filters as FI
 from loomline.operators import mining as M
 from loomline.operators import sampling as S
+from loomline.operators.analytics import with_totals
+from loomline.session import written
 
 # Frequent function words, for the default language scorer.
 FUNCTION_WORDS = {
@@ -33,9 +35,11 @@ def monolingual(docs: DataFrame, text: str = "text", lang: str = "lang", script_
     """(doc_id, n, outcome, clean) of every sentence: split, clean, filter, script, language; kept sentences once per text."""
     x = docs.select("doc_id", F.col(lang).alias("lang"), F.posexplode(T.sentences(F.col(text))).alias("n", "raw"))
     x = x.withColumn("clean", T.replace_non_printing(T.normalize_whitespace(T.replace_unicode_punct(F.col("raw")))))
+    # a stage of its own: inlined, the cleaning would run again for every measure of the sentence
+    x = written(x.select("doc_id", "lang", "n", "clean"), "sentences")
     x = x.withColumn("script", T.predict_script(T.script_counts(F.col("clean")))).withColumn("top", F.array_max(function_word_scores(F.col("clean"))))
     out = FI.line_outcome(F.col("clean"), F.element_at(F.split("lang", "_"), -1), F.col("script"), F.col("lang"), F.col("top")["lang"], F.col("top")["p"], script_min, F.lit(lid_min))
-    x = x.select("doc_id", "n", out.alias("outcome"), "clean")
+    x = written(x.select("doc_id", "n", out.alias("outcome"), "clean"), "monolingual")  # read for the kept and for the rest
     kept = D.sort_unique(x.where("outcome = 'kept'"), "clean", ["doc_id", "n"])
     return kept.unionByName(x.where("outcome <> 'kept' OR outcome IS NULL"))
 
@@ -64,7 +68,5 @@ def prepare_data(train: DataFrame, evals: DataFrame, mode: str = "both", smalles
     once = train.select("line_id", "lang_dir", "src", "tgt").distinct()
     kept = D.held_out(once, evals, "src", "tgt", norm, mode)
     per = kept.groupBy("lang_dir").agg(F.count(F.lit(1)).alias("n"))
-    from loomline.operators.analytics import with_totals
-
     shards = with_totals(per, per.agg(F.sum("n").alias("n_all"))).select("lang_dir", S.shard_count(F.col("n"), F.col("n_all"), smallest, largest).cast("int").alias("shards"))
     return kept.join(shards, "lang_dir").select("lang_dir", S.md5_bucket(F.col("shards"), "id").alias("shard"), "id")
