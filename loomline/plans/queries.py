@@ -769,6 +769,195 @@ def q_stream_windows(spark, d):
     return out.withColumn("start", F.col("start").cast("timestamp_ntz"))
 
 
+# ---------------------------------------------------------------- further projections, joins and aggregates
+
+
+@query("SELECT round_even((avg_sc - 0.025) / 0.05, 0) * 0.05 + 0.025 AS bin, count(*) AS n FROM test_input_de WHERE avg_sc IS NOT NULL GROUP BY 1")
+def q_round_bins(spark, d):
+    return table(spark, d, "test_input_de").where("avg_sc IS NOT NULL").groupBy(A.round_bin(F.col("avg_sc")).alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT sent_id, CASE WHEN mt IS NULL OR mt = '' THEN 'missing' WHEN mt = src THEN 'untranslated' WHEN min_sc < 0.3 THEN 'detached' WHEN length(mt) * 3 < length(src) THEN 'cut' ELSE 'none' END AS error FROM test_input_de")
+def q_severity(spark, d):
+    c = F.col
+    worst = F.when(c("mt").isNull() | (c("mt") == ""), "missing").when(c("mt") == c("src"), "untranslated").when(c("min_sc") < 0.3, "detached").when(F.length("mt") * 3 < F.length("src"), "cut").otherwise("none")
+    return table(spark, d, "test_input_de").select("sent_id", worst.alias("error"))
+
+
+@query("SELECT sent_id, greatest(avg_sc, min_sc) AS top, 1 - min_sc AS rest FROM test_input_de")
+def q_row_max(spark, d):
+    return table(spark, d, "test_input_de").select("sent_id", F.greatest("avg_sc", "min_sc").alias("top"), (1 - F.col("min_sc")).alias("rest"))
+
+
+@query("SELECT sent_id FROM test_input_de WHERE source IN ('letters', 'forumq', 'helpdesk') AND mt_system IN ('oldphrase', 'nimbus-s') AND NOT coalesce(mt ILIKE '%you%', false)")
+def q_high_risk(spark, d):
+    x = table(spark, d, "test_input_de").where(F.col("source").isin("letters", "forumq", "helpdesk") & F.col("mt_system").isin("oldphrase", "nimbus-s"))
+    return x.where(~F.coalesce(F.lower("mt").contains("you"), F.lit(False))).select("sent_id")
+
+
+@query("""WITH x AS (SELECT DISTINCT line_id, string_split(src, ', ') AS a, string_split(tgt, ', ') AS b FROM train_lines WHERE src IS NOT NULL AND tgt IS NOT NULL),
+y AS (SELECT line_id, a, b, unnest(generate_series(1, least(len(a), len(b)))) AS i FROM x) SELECT line_id, i - 1 AS n, a[i] AS src, b[i] AS tgt FROM y""")
+def q_zip_parts(spark, d):
+    x = table(spark, d, "train_lines").where("src IS NOT NULL AND tgt IS NOT NULL").select("line_id", F.split("src", ", ").alias("a"), F.split("tgt", ", ").alias("b")).distinct()
+    n = F.least(F.size("a"), F.size("b"))
+    return x.select("line_id", F.posexplode(F.arrays_zip(F.slice("a", F.lit(1), n).alias("src"), F.slice("b", F.lit(1), n).alias("tgt"))).alias("n", "p")).select("line_id", F.col("n").cast("long").alias("n"), "p.src", "p.tgt")
+
+
+@query("SELECT coalesce(a.corpus, b.corpus) AS corpus, a.n AS train, b.n AS mined FROM (SELECT corpus, count(*) AS n FROM train_lines GROUP BY corpus) a FULL JOIN (SELECT corpus, count(*) AS n FROM mining_lines GROUP BY corpus) b ON a.corpus = b.corpus")
+def q_outer_counts(spark, d):
+    per = lambda t, n: table(spark, d, t).groupBy("corpus").agg(F.count(F.lit(1)).alias(n))
+    return per("train_lines", "train").join(per("mining_lines", "mined"), "corpus", "full_outer")
+
+
+@query("""WITH k AS (SELECT line_id, fold, array_to_string(list_sort(string_split(lang_dir, '-')), '-') AS k FROM eval_lines), j AS (SELECT job_id, array_to_string(list_sort(string_split(lang_dir, '-')), '-') AS k FROM dedup_sharding_jobs)
+SELECT job_id, fold, count(line_id) AS lines FROM j LEFT JOIN k ON j.k = k.k GROUP BY job_id, fold""")
+def q_eval_lookup(spark, d):
+    key = F.array_join(F.array_sort(F.split("lang_dir", "-")), "-").alias("k")
+    jobs = F.broadcast(table(spark, d, "dedup_sharding_jobs").select("job_id", key))  # a fixed table
+    e = table(spark, d, "eval_lines").select("line_id", "fold", key)
+    return jobs.join(e, "k", "left").groupBy("job_id", "fold").agg(F.count("line_id").alias("lines"))
+
+
+@query("SELECT m.line_id, coalesce(k.keep_pct::VARCHAR, '') AS keep_pct FROM mining_lines m LEFT JOIN keep_targets k ON m.corpus = k.corpus")
+def q_metadata_lookup(spark, d):
+    k = F.broadcast(table(spark, d, "keep_targets").select("corpus", F.col("keep_pct").cast("string").alias("keep_pct")))  # a fixed table
+    return table(spark, d, "mining_lines").join(k, "corpus", "left").select("line_id", F.coalesce("keep_pct", F.lit("")).alias("keep_pct"))
+
+
+@query(r"SELECT label_id, ' ' || trim(regexp_replace(lower(mt), '[^\p{L}\p{N}_]+', ' ', 'g')) || ' ' AS words FROM tox_labels")
+def q_word_format(spark, d):
+    return table(spark, d, "tox_labels").select("label_id", T.word_format(F.col("mt")).alias("words"))
+
+
+@query("""WITH x AS (SELECT line_id, replace(src, ' ', '') AS s FROM eval_lines WHERE length(replace(src, ' ', '')) >= 6), y AS (SELECT line_id, list_transform(generate_series(1, length(s) - 5), lambda i: substr(s, i, 6)) AS g FROM x)
+SELECT line_id, len(g) AS grams, len(list_distinct(g)) AS distinct_grams FROM y""")
+def q_char_ngrams(spark, d):
+    x = table(spark, d, "eval_lines").where(F.length(F.replace("src", F.lit(" "), F.lit(""))) >= 6).select("line_id", T.char_ngrams(F.col("src"), 6).alias("g"))
+    return x.select("line_id", F.size("g").cast("long").alias("grams"), F.size(F.array_distinct("g")).cast("long").alias("distinct_grams"))
+
+
+@query(r"""WITH w AS (SELECT label_id, unnest(regexp_split_to_array(lower(mt), '[^a-z]+')) AS w, generate_subscripts(regexp_split_to_array(lower(mt), '[^a-z]+'), 1) - 1 AS place FROM tox_labels)
+SELECT label_id, w AS word, place FROM w WHERE w IN ('idiot', 'moron', 'cretin', 'loser', 'stupid')""")
+def q_word_positions(spark, d):
+    x = table(spark, d, "tox_labels").select("label_id", F.posexplode(F.split(F.lower("mt"), "[^a-z]+")).alias("place", "word"))
+    return x.where(F.col("word").isin("idiot", "moron", "cretin", "loser", "stupid")).select("label_id", "word", F.col("place").cast("long").alias("place"))
+
+
+@query("""WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS n FROM documents WHERE text IS NOT NULL)
+SELECT doc_id, n, coalesce(sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS at FROM l""")
+def q_line_offsets(spark, d):
+    # a fold within the document: no shuffle, no window over rows
+    lengths = F.transform(F.split("text", "\n"), lambda x: F.length(x) + 1)
+    ends = F.aggregate(lengths, F.array(F.lit(0).cast("long")), lambda a, x: F.concat(a, F.array(F.element_at(a, -1) + x)))
+    x = table(spark, d, "documents").where("text IS NOT NULL").select("doc_id", F.posexplode(F.slice(ends, F.lit(1), F.size(F.split("text", "\n")))).alias("n", "at"))
+    return x.select("doc_id", F.col("n").cast("long").alias("n"), "at")
+
+
+@query("SELECT lang_dir, sum(n)::BIGINT AS n FROM (SELECT lang_dir, count(*) AS n FROM train_lines GROUP BY lang_dir UNION ALL SELECT lang_dir, count(*) FROM mining_lines GROUP BY lang_dir) GROUP BY lang_dir")
+def q_direction_sizes(spark, d):
+    per = lambda t: table(spark, d, t).groupBy("lang_dir").agg(F.count(F.lit(1)).alias("n"))
+    return per("train_lines").unionByName(per("mining_lines")).groupBy("lang_dir").agg(F.sum("n").alias("n")).orderBy("n", "lang_dir")
+
+
+@query("SELECT corpus, count(src) AS src_lines, count(tgt) AS tgt_lines, count(metadata) AS meta_lines, count(src) = count(tgt) AS aligned FROM train_lines GROUP BY corpus")
+def q_validate(spark, d):
+    return table(spark, d, "train_lines").groupBy("corpus").agg(F.count("src").alias("src_lines"), F.count("tgt").alias("tgt_lines"), F.count("metadata").alias("meta_lines"), (F.count("src") == F.count("tgt")).alias("aligned"))
+
+
+@query("SELECT lang, count(*) AS n, ceil(count(*) / 50)::BIGINT AS splits FROM sent_vectors GROUP BY lang")
+def q_split_languages(spark, d):
+    return table(spark, d, "sent_vectors").groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.ceil(F.count(F.lit(1)) / 50).cast("long").alias("splits"))
+
+
+@query("SELECT vec_id, corpus FROM (SELECT vec_id, corpus, row_number() OVER (PARTITION BY corpus ORDER BY md5(vec_id || ':7'), vec_id) AS rn FROM sent_vectors) WHERE rn <= 3")
+def q_sample_vectors(spark, d):
+    return S.sample_per_group(table(spark, d, "sent_vectors").select("vec_id", "corpus"), "corpus", "vec_id", 3, 7)
+
+
+@query("SELECT line_id FROM train_lines WHERE lang_dir NOT IN (SELECT lang_dir FROM dedup_sharding_jobs)")
+def q_excluded_directions(spark, d):
+    listed = F.broadcast(table(spark, d, "dedup_sharding_jobs").select("lang_dir"))  # a fixed table
+    return table(spark, d, "train_lines").where("lang_dir IS NOT NULL").join(listed, "lang_dir", "left_anti").select("line_id")
+
+
+@query("""WITH l AS (SELECT DISTINCT ON (src_id) src_id, indices FROM neighbors ORDER BY src_id, direction), p AS (SELECT a.src_id AS a, b.src_id AS b, a.indices AS x, b.indices AS y FROM l a JOIN l b ON b.src_id = a.indices[1])
+SELECT a, b, len(list_intersect(x, y)) AS common FROM p""")
+def q_common_neighbors(spark, d):
+    x = table(spark, d, "neighbors").groupBy("src_id").agg(F.min_by("indices", "direction").alias("x"))
+    y = x.select(F.col("src_id").alias("b"), F.col("x").alias("y"))
+    p = x.select(F.col("src_id").alias("a"), "x", F.get("x", 0).alias("b")).join(y, "b")
+    return p.select("a", "b", F.size(F.array_intersect("x", "y")).cast("long").alias("common"))
+
+
+@query("SELECT job_id, t.corpus, e.eval_set FROM (SELECT job_id, unnest(train_datasets) AS corpus FROM dedup_sharding_jobs) t LEFT JOIN (SELECT job_id, unnest(eval_datasets) AS eval_set FROM dedup_sharding_jobs) e USING (job_id)")
+def q_flatten_config(spark, d):
+    j = table(spark, d, "dedup_sharding_jobs")
+    return j.select("job_id", F.explode("train_datasets").alias("corpus"), "eval_datasets").select("job_id", "corpus", F.explode_outer("eval_datasets").alias("eval_set"))
+
+
+@query("""SELECT source, avg(avg_sc) FILTER (WHERE mt_system = 'oldphrase') AS old_mean, avg(avg_sc) FILTER (WHERE mt_system <> 'oldphrase') AS new_mean, count(*) FILTER (WHERE min_sc > 0.3) / count(*) AS above_3, count(*) FILTER (WHERE min_sc > 0.4) / count(*) AS above_4 FROM test_input_de GROUP BY source""")
+def q_split_means(spark, d):
+    m = lambda cond: F.avg(F.when(cond, F.col("avg_sc")))
+    share = lambda t: F.count_if(F.col("min_sc") > t) / F.count(F.lit(1))
+    return table(spark, d, "test_input_de").groupBy("source").agg(m(F.col("mt_system") == "oldphrase").alias("old_mean"), m(F.col("mt_system") != "oldphrase").alias("new_mean"), share(0.3).alias("above_3"), share(0.4).alias("above_4"))
+
+
+@query("SELECT mt_system, avg(avg_sc) AS avg_sc, avg(min_sc) AS min_sc, (avg(avg_sc) + avg(min_sc)) / 2 AS row_mean FROM test_input_de GROUP BY mt_system")
+def q_class_means(spark, d):
+    x = table(spark, d, "test_input_de").groupBy("mt_system").agg(F.avg("avg_sc").alias("avg_sc"), F.avg("min_sc").alias("min_sc"))
+    return x.withColumn("row_mean", (F.col("avg_sc") + F.col("min_sc")) / 2)
+
+
+@query("SELECT source, n FROM (SELECT source, count(*) AS n FROM test_input_de GROUP BY source) ORDER BY n DESC, source LIMIT 5")
+def q_top_groups(spark, d):
+    return table(spark, d, "test_input_de").groupBy("source").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "source").limit(5)
+
+
+@query("SELECT source, min(doc_id) AS doc_id, arg_min(lang, doc_id) AS lang FROM documents WHERE lang IS NOT NULL GROUP BY source")
+def q_first_per_source(spark, d):
+    return table(spark, d, "documents").where("lang IS NOT NULL").groupBy("source").agg(F.min("doc_id").alias("doc_id"), F.min_by("lang", "doc_id").alias("lang"))
+
+
+@query(rf"""SELECT score, trim(regexp_replace(src, '[\t\r\n]+', ' ', 'g'), ' ') AS src, trim(regexp_replace(tgt, '[\t\r\n]+', ' ', 'g'), ' ') AS tgt FROM mining_lines WHERE score >= 1.06 AND NOT isnan(score) AND length(trim(regexp_replace(src, '[\t\r\n]+', ' ', 'g'), ' ')) > 0 AND length(trim(regexp_replace(tgt, '[\t\r\n]+', ' ', 'g'), ' ')) > 0""")
+def q_tsv_round_trip(spark, d):
+    import uuid
+
+    from loomline.session import scratch_dir
+    from loomline.sources.readers import read_mined
+    from loomline.sources.sinks import write_bitext
+
+    path = f"{scratch_dir(spark)}/tsv-{uuid.uuid4().hex}"
+    write_bitext(table(spark, d, "mining_lines").where("score >= 1.06 AND NOT isnan(score)"), path, "score", "src", "tgt")
+    return read_mined(spark, path).where("length(src) > 0 AND length(tgt) > 0")
+
+
+@query("SELECT line_id, lang_dir, fold FROM eval_lines")
+def q_jsonl_round_trip(spark, d):
+    import uuid
+
+    from loomline.session import scratch_dir
+    from loomline.sources.sinks import write_jsonl
+
+    path = f"{scratch_dir(spark)}/jsonl-{uuid.uuid4().hex}"
+    x = table(spark, d, "eval_lines").select("line_id", "lang_dir", "fold")
+    write_jsonl(x, path)
+    return spark.read.schema(x.schema).json(path)
+
+
+@query("SELECT vec_id, len(embedding) AS dim FROM sent_vectors WHERE len(embedding) = 128")
+def q_checked_vectors(spark, d):
+    from loomline.sources.sinks import checked_vectors
+
+    return checked_vectors(table(spark, d, "sent_vectors").where("size(embedding) = 128"), "embedding", 128).select("vec_id", F.size("embedding").cast("long").alias("dim"))
+
+
+@query("SELECT e.line_id, s.shard FROM eval_lines e, (SELECT unnest([0, 1, 2, 3]) AS shard) s")
+def q_replicated_eval(spark, d):
+    from loomline.sources.sinks import replicated
+
+    return replicated(table(spark, d, "eval_lines").select("line_id"), 4)
+
+
 # ---------------------------------------------------------------- pipelines
 
 
