@@ -15,17 +15,6 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 200_000
 
 _own_dirs: list[str] = []
-_tables: list[tuple[SparkSession, str]] = []
-
-
-def _forget_tables() -> None:
-    """At the end of the program the intermediate tables go, where the session still lives."""
-    for spark, path in _tables:
-        try:
-            p = spark._jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
-        except Exception:  # the session has ended; the folder is the cluster's to clean
-            return
 
 
 def _forget_own() -> None:
@@ -56,9 +45,6 @@ def written(df: DataFrame, label: str, partition_by: list[str] | None = None) ->
     """
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/{label}-{uuid.uuid4().hex}"
-    if not _tables:
-        atexit.register(_forget_tables)
-    _tables.append((spark, path))
     w = df.write.mode("error").option("compression", "zstd")
     if partition_by:
         w = w.partitionBy(*partition_by)

@@ -32,7 +32,7 @@ def rows(table):
 
 
 def same(spark, con, query, sql, sf_dir):
-    got, want = rows(query(spark, sf_dir).toArrow()), rows(con.execute(sql).fetch_arrow_table())
+    got, want = rows(query(spark, sf_dir).toArrow()), rows(con.execute(sql).to_arrow_table())
     assert got[0] == want[0], (got[0], want[0])
     assert len(got[1]) == len(want[1]), (len(got[1]), len(want[1]))
     bad = [(a, b) for a, b in zip(got[1], want[1], strict=True) if a != b]
