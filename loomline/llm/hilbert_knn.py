@@ -5,7 +5,9 @@ numbered along a Hilbert curve; several such orderings differ in directions and
 Spark range-partitions and sorts each ordering; in it, every window of rows is compared with
 itself and the windows before and after by whole-vector cosines, and the best of all
 orderings are merged. Equal vectors are represented once, with their smallest ids, so that
-any number of copies costs nothing.
+any number of copies costs nothing. Vectors of a group too dense for a window (parallel or
+almost equal ones) are found by how many rows of a window are close to them, and are compared
+with all vectors in blocks.
 """
 
 from __future__ import annotations
@@ -20,6 +22,8 @@ from pyspark.sql import functions as F
 from loomline.session import skew_join, written
 
 CURVES, WINDOW, DIMS, BITS = 10, 512, 12, 5
+#: A vector is crowded if more than a quarter of a window's rows have this cosine with it; rows of a block of the exact search.
+CONE, BLOCK = 0.85, 16_384
 
 
 def hilbert_keys(cells: np.ndarray, bits: int) -> np.ndarray:
@@ -82,20 +86,33 @@ def _keys(dim: int, curves: int, dims: int, bits: int):
     return run
 
 
-def _windows(dim: int, keep: int, window: int):
-    def best(q_ids, q, c_ids, c):
-        s = q @ c.T
-        s[q_ids[:, None] == c_ids[None, :]] = -np.inf
-        m = min(keep, s.shape[1])
-        part = np.argpartition(-s, m - 1, axis=1)[:, :m] if m < s.shape[1] else np.broadcast_to(np.arange(m), (len(s), m))
-        return c_ids[part], np.take_along_axis(s, part, 1)
+def _best(q_ids: np.ndarray, q: np.ndarray, c_ids: np.ndarray, c: np.ndarray, keep: int, cone: float):
+    """Ids and cosines (to ten decimals) of the `keep` best candidates of each row, of equal cosines the
+    smaller ids, and how many candidates reach the cosine `cone`."""
+    order = np.argsort(c_ids, kind="stable")
+    c_ids, c = c_ids[order], c[order]
+    s = q @ c.T
+    s[q_ids[:, None] == c_ids[None, :]] = -np.inf
+    close = (s >= cone).sum(1)
+    # whole numbers of 1e-10, less a fraction by the place in order of id: no ties are left
+    s *= 1e10
+    np.rint(s, out=s)
+    s -= np.arange(len(c)) / (1 << 16)
+    m = min(keep, s.shape[1])
+    part = np.argpartition(-s, m - 1, axis=1)[:, :m] if m < s.shape[1] else np.broadcast_to(np.arange(m), (len(s), m))
+    return c_ids[part], np.ceil(np.take_along_axis(s, part, 1)) / 1e10, close
 
-    def out(ids, nbr, cos):
-        n, m = nbr.shape
-        ok = np.isfinite(cos)
-        offsets = np.concatenate([[0], np.cumsum(ok.sum(1))]).astype(np.int32)
-        pairs = pa.StructArray.from_arrays([pa.array(np.round(-cos[ok], 10)), pa.array(nbr[ok])], names=["d", "id"])
-        return pa.record_batch([pa.array(ids), pa.ListArray.from_arrays(pa.array(offsets), pairs)], names=["id", "near"])
+
+def _near_lists(ids: np.ndarray, nbr: np.ndarray, cos: np.ndarray) -> list[pa.Array]:
+    ok = np.isfinite(cos)
+    offsets = np.concatenate([[0], np.cumsum(ok.sum(1))]).astype(np.int32)
+    pairs = pa.StructArray.from_arrays([pa.array(-cos[ok]), pa.array(nbr[ok])], names=["d", "id"])
+    return [pa.array(ids), pa.ListArray.from_arrays(pa.array(offsets), pairs)]
+
+
+def _windows(dim: int, keep: int, window: int, cone: float):
+    def out(ids, nbr, cos, close):
+        return pa.record_batch([*_near_lists(ids, nbr, cos), pa.array(close > window // 4)], names=["id", "near", "crowded"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # rows come sorted by (curve, key); blocks of `window` rows, each against its neighbours
@@ -125,7 +142,7 @@ def _windows(dim: int, keep: int, window: int):
             while len(blocks) >= (1 if final else 3):
                 around = [b for b in ([before[0]] if before[0] else []) + blocks[:2] if b[0] == blocks[0][0]]
                 _, i, e = blocks[0]
-                yield out(i, *best(i, e, np.concatenate([b[1] for b in around]), np.concatenate([b[2] for b in around])))
+                yield out(i, *_best(i, e, np.concatenate([b[1] for b in around]), np.concatenate([b[2] for b in around]), keep, cone))
                 before[0] = blocks.pop(0)
 
         before = [None]
@@ -145,6 +162,32 @@ def _windows(dim: int, keep: int, window: int):
     return run
 
 
+def _exact(crowded: DataFrame, every: DataFrame, dim: int, keep: int, block: int) -> DataFrame:
+    """(id, near) of the crowded vectors, compared with every vector: blocks of one side meet blocks of the other."""
+    asked, held = (max(1, -(-x.count() // block)) for x in (crowded, every))
+
+    def run(q: pa.Table, c: pa.Table) -> pa.Table:
+        q, c = q.combine_chunks(), c.combine_chunks()
+        rows = []
+        if q.num_rows and c.num_rows:
+            c_ids, c_vec = c.column("id").to_numpy(), _units(c.column("vec").combine_chunks(), dim)
+            q_ids, q_vec = q.column("id").to_numpy(), _units(q.column("vec").combine_chunks(), dim)
+            for lo in range(0, len(q_ids), 256):
+                ids = q_ids[lo : lo + 256]
+                nbr, cos, _ = _best(ids, q_vec[lo : lo + 256], c_ids, c_vec, keep, 2.0)
+                rows.append(pa.record_batch(_near_lists(ids, nbr, cos), names=["id", "near"]))
+        near = pa.list_(pa.struct([("d", pa.float64()), ("id", pa.int64())]))
+        return pa.Table.from_batches(rows, pa.schema([("id", pa.int64()), ("near", near)]))
+
+    def spread(df: DataFrame, own: int, own_name: str, other: int, other_name: str) -> DataFrame:
+        at = df.select("id", "vec", F.pmod(F.xxhash64("id"), F.lit(own)).cast("int").alias(own_name))
+        return at.withColumn(other_name, F.explode(F.sequence(F.lit(0), F.lit(other - 1)))).groupBy("a", "b")
+
+    met = spread(crowded, asked, "a", held, "b").cogroup(spread(every, held, "b", asked, "a"))
+    near = met.applyInArrow(run, "id long, near array<struct<d: double, id: long>>")
+    return near.groupBy("id").agg(F.slice(F.array_sort(F.flatten(F.collect_list("near"))), 1, keep).alias("near"))
+
+
 def usable_vectors(df: DataFrame, id_col: str, vec_col: str, dim: int) -> DataFrame:
     """(id, vec) of the non-null vectors of the right dimension with finite entries, not all zero."""
     ok = F.expr(f"size({vec_col}) = {dim} AND forall({vec_col}, x -> x IS NOT NULL AND NOT isnan(x) AND abs(x) < double('Infinity')) AND exists({vec_col}, x -> x <> 0)")
@@ -153,13 +196,14 @@ def usable_vectors(df: DataFrame, id_col: str, vec_col: str, dim: int) -> DataFr
 
 def similar_vectors(
     df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", dim: int = 128, k: int = 5,
-    curves: int = CURVES, window: int = WINDOW, dims: int = DIMS, bits: int = BITS,
+    curves: int = CURVES, window: int = WINDOW, dims: int = DIMS, bits: int = BITS, cone: float = CONE, block: int = BLOCK,
 ) -> DataFrame:
     """(id, indices, dists): the k most similar other vectors of each usable vector, nearest
     first, dists = 2 - 2 cos; of equal cosines the smaller id comes first.
 
     Approximate in the candidates, exact in the cosines (double precision, compared to ten
-    decimals). Null, all-zero, non-finite vectors and those of another dimension take no part;
+    decimals). A vector with more than window / 4 others of cosine `cone` in one window is
+    compared with all vectors instead, since the window may have cut its group. Null, all-zero, non-finite vectors and those of another dimension take no part;
     an id repeated with the same vector counts once. Fewer than k others give shorter lists, a
     lone vector empty ones. Of a group of equal vectors only the k + 1 smallest ids can be
     among the k nearest of anything, so the group is searched once and those ids stand for it;
@@ -173,9 +217,15 @@ def similar_vectors(
     parts = max(1, -(-reps.count() * curves // 20_000))
     keyed = reps.select(F.col("rep").alias("id"), "vec").mapInArrow(_keys(dim, curves, dims, bits), "curve int, key long, id long, vec array<float>")
     ordered = keyed.repartitionByRange(parts, "curve", "key", "id").sortWithinPartitions("curve", "key", "id")
-    near = ordered.mapInArrow(_windows(dim, k + 1, window), "id long, near array<struct<d: double, id: long>>")
+    near = ordered.mapInArrow(_windows(dim, k + 1, window, cone), "id long, near array<struct<d: double, id: long>>, crowded boolean")
     # at most curves * (k + 1) candidates meet here per vector
-    best = near.groupBy("id").agg(F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list("near")))), 1, k + 1).alias("near"))
+    merged = F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list("near")))), 1, k + 1)
+    best = written(near.groupBy("id").agg(merged.alias("near"), F.max("crowded").alias("crowded")), "p2-near")
+    crowded = best.where("crowded").select("id")
+    if crowded.limit(1).count():
+        vectors = reps.select(F.col("rep").alias("id"), "vec")
+        asked = written(vectors.join(crowded, "id", "left_semi"), "p2-crowded")
+        best = best.where("NOT crowded").select("id", "near").unionByName(_exact(asked, vectors, dim, k + 1, block))
     multi = reps.where("size(ids) > 1").select("h1", "h2", "rep", "ids")
     other = multi.select(F.col("rep").alias("other"), F.col("ids").alias("copies"))
     pairs = best.select("id", F.explode("near").alias("x")).select("id", "x.d", F.col("x.id").alias("other"))

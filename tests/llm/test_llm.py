@@ -65,6 +65,24 @@ def test_similar_vectors(spark):
     assert hilbert_knn.similar_vectors(df.limit(0), dim=16).count() == 0
 
 
+def test_similar_vectors_of_dense_groups(spark):
+    # a group of parallel vectors and one of almost equal ones, both far larger than three windows
+    r = np.random.default_rng(4)
+    x = r.standard_normal((2400, 32))
+    x[:800] = x[0] * r.uniform(0.5, 2, (800, 1))
+    x[800:1600] = x[800] + 0.01 * r.standard_normal((800, 32))
+    x = x[r.permutation(2400)].astype(np.float32)
+    u = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    sim = np.round(u @ u.T, 10)
+    np.fill_diagonal(sim, -2)
+    want = {(i, int(j)) for i in range(2400) for j in np.lexsort((np.arange(2400), -sim[i]))[:5] if sim[i, j] >= 0.85}
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    got = [tuple(q) for q in hilbert_knn.similar_pairs(df, 0.85, dim=32, window=32).collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+    blocks = hilbert_knn.similar_pairs(df, 0.85, dim=32, window=32, curves=2, block=1000)
+    assert {tuple(q) for q in blocks.collect()} == want
+
+
 # ------------------------------------------------------------------ 3
 
 
