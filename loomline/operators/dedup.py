@@ -94,11 +94,33 @@ def _signatures(perms: int, bands: int, rows: int, order: int, seed: int):
     return run
 
 
+def components(edges: DataFrame) -> DataFrame:
+    """(a, b) with b the largest id of a's connected component, for every other id of it; edges are (a, b) with a < b.
+
+    Alternating large and small stars: every round ties the ids around an id to the largest of them, until
+    only stars are left (rounds grow with the logarithm of the ids).
+    """
+    mark = lambda e: tuple(e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+    edges = written(edges.select("a", "b").distinct(), "edges")
+    seen, now = None, mark(edges)
+    while now != seen:
+        both = edges.select(F.col("a").alias("v"), F.col("b").alias("u")).unionByName(edges.select(F.col("b").alias("v"), F.col("a").alias("u")))
+        most = both.groupBy("u").agg(F.greatest(F.max("v"), F.col("u")).alias("m"))
+        large = skew_join(edges.select(F.col("a").alias("v"), F.col("b").alias("u")), most, ["u"]).select(F.col("v").alias("a"), F.col("m").alias("b"))
+        large = written(large.distinct(), "large-stars")
+        top = large.groupBy("a").agg(F.max("b").alias("m"))
+        small = skew_join(large, top, ["a"]).where("b < m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        edges = written(small.unionByName(top.withColumnRenamed("m", "b")).distinct(), "edges")
+        seen, now = now, mark(edges)
+    return edges
+
+
 def near_duplicates(df: DataFrame, id_col: str, text: Column, perms: int = 100, bands: int = 10, rows: int = 10, order: int = 5, seed: int = 1) -> DataFrame:
     """(id, class_id, dropped) per row: rows collide if they share a MinHash band; a row is dropped if
-    it collides with one of a larger id (the last one stays). class_id is the largest id it collides with, its
-    own if none. Null and empty texts collide with nothing. Equal texts are represented once, so copies don't meet
-    in a bucket; buckets are reduced to their largest id by an aggregate.
+    it collides with one of a larger id (the last one stays). class_id is the largest id of all rows that
+    collisions connect it with, its own if none; a row that collides with smaller ids only isn't dropped, though its
+    class may have a larger id. Null and empty texts collide with nothing. Equal texts are represented once, so
+    copies don't meet in a bucket; buckets are reduced to their largest id by an aggregate, which links all their rows.
     """
     if bands * rows > perms:
         raise ValueError("bands * rows must not exceed the number of permutations")
@@ -108,8 +130,11 @@ def near_duplicates(df: DataFrame, id_col: str, text: Column, perms: int = 100,
     reps = own.where("t <> ''").groupBy("k").agg(F.max("id").alias("id"), F.max("t").alias("t"))
     buckets = written(reps.select("id", "t").mapInArrow(_signatures(perms, bands, rows, order, seed), f"id {kind}, bucket string"), "lsh-buckets")
     tops = buckets.groupBy("bucket").agg(F.max("id").alias("top"))
-    of_rep = skew_join(buckets, tops, ["bucket"]).groupBy("id").agg(F.max("top").alias("class_id"))
-    of_key = reps.select("k", "id").join(of_rep, "id").select("k", "class_id")
-    named = skew_join(own.where("t <> ''").select("id", "k"), of_key, ["k"]).select("id", "class_id")
-    blank = own.where("t IS NULL OR t = ''").select("id", F.col("id").alias("class_id"))
-    return named.unionByName(blank).select("id", "class_id", (F.col("class_id") > F.col("id")).alias("dropped"))
+    links = skew_join(buckets, tops, ["bucket"]).where("id < top").select(F.col("id").alias("a"), F.col("top").alias("b"))
+    links = written(links.distinct(), "lsh-links")
+    tied = reps.select("k", "id").join(components(links).select(F.col("a").alias("id"), F.col("b").alias("class_id")), "id", "left")
+    tied = tied.join(links.select(F.col("a").alias("id"), F.lit(True).alias("hit")).distinct(), "id", "left")
+    of_key = tied.select("k", F.col("id").alias("rep"), F.coalesce("class_id", "id").alias("class_id"), F.coalesce("hit", F.lit(False)).alias("hit"))
+    named = skew_join(own.where("t <> ''").select("id", "k"), of_key, ["k"]).select("id", "class_id", (F.col("hit") | (F.col("id") < F.col("rep"))).alias("dropped"))
+    blank = own.where("t IS NULL OR t = ''").select("id", F.col("id").alias("class_id"), F.lit(False).alias("dropped"))
+    return named.unionByName(blank)

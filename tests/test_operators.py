@@ -104,6 +104,22 @@ def test_near_duplicates_last_one_stays(spark):
     assert D.near_duplicates(df.limit(0), "id", F.col("t")).count() == 0
 
 
+def test_near_duplicates_keep_links_of_all_buckets(spark):
+    one, two = "the quick brown fox jumps over the lazy dog", "zwölf Boxkämpfer jagen Viktor quer durch Sylt"
+    df = spark.createDataFrame([(1, f"{one} {two}"), (2, one), (3, two), (4, "0123456789" * 3), (5, one)], "id long, t string")
+    got = {r.id: (r.class_id, r.dropped) for r in D.near_duplicates(df, "id", F.col("t"), perms=60, bands=60, rows=1).collect()}
+    # 5 and 3 meet only through 1: one class, and neither is dropped for the other
+    assert got == {1: (5, True), 2: (5, True), 3: (5, False), 4: (4, False), 5: (5, False)}
+
+
+def test_components_of_chains(spark):
+    order = [7, 1, 9, 3, 12, 2, 8, 5, 11, 4, 10, 6]
+    edges = [(min(p), max(p)) for p in [*zip(order, order[1:]), (20, 21), (20, 22)]]
+    got = {tuple(r) for r in D.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {(i, 12) for i in range(1, 12)} | {(20, 22), (21, 22)}
+    assert D.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
 def test_caps_and_firsts(spark):
     df = spark.createDataFrame([(3, "a", 1.0), (1, "a", None), (2, "a", 5.0), (4, None, 1.0), (5, None, 2.0)], "id long, k string, v double")
     assert sorted(r.id for r in D.first_of(df, ["k"], "id").collect()) == [1, 4]
