@@ -45,6 +45,19 @@ LEXICON: dict[tuple[str, float], str] = {
     ("sexual", 0.4): "breasts, thighs, on camera, click for more, hot singles, hot women, hot men, hot nurses, hot housewives, hot girls, sex, rubbed, kissed her bare, lick, spank",
 }
 
+# General vocabulary by kind, with inflected forms; written without the test tables.
+GENERAL: dict[tuple[str, float], str] = {
+    ("insult", 1.0): "fucker, motherfucking, fuckwit, fuckface, fuckhead, asshat, arsehole, douchebag, jackass, cocksucker, twat, shitbag, bitchass",
+    ("insult", 0.7): "retarded, bitchy, slutty, whoring, skank, tosser, moronic",
+    ("insult", 0.5): "fucking, fuckin, fucked, idiotic, imbecilic, prick",
+    ("insult", 0.4): "liar, shitty, bitching",
+    ("threat", 1.0): "rape you, rape her, rape him, i will rape, i ll rape, gonna rape, deserve to be raped, deserves to be raped, hope you get raped, murder you, i will murder him, i will murder her, someone should kill, "
+    "somebody should kill, i will kill him, i will kill her, we will kill him, we will kill her, i ll kill him, i ll kill her, we ll kill him, we ll kill her, gonna kill him, gonna kill her",
+    ("threat", 0.6): "i will kill them, we will kill them, i ll kill them, we ll kill them, gonna kill them, kill them all, kill them both",
+    ("hate", 1.0): "nigger, kike, gook, wetback, raghead, towelhead, sandnigger, faggot, paki",
+    ("hate", 0.7): "nigga, chink, spic, tranny, fag",
+}
+
 # Harmless, technical, medical or figurative uses of such words.
 EXCEPTIONS = (
     "idiot proof, dumb terminal, dumb waiter, dumb luck, naked eye, naked singularity, naked mole, breast cancer, breast screening, breast feeding, chicken breast, sexual reproduction, sex of the, "
@@ -118,7 +131,7 @@ def _automata():
     plain, squeezed, harmless = ahocorasick.Automaton(), ahocorasick.Automaton(), ahocorasick.Automaton()
     entries: dict[str, tuple[int, float]] = {}
     short: dict[str, tuple[int, float]] = {}
-    for (kind, weight), terms in LEXICON.items():
+    for (kind, weight), terms in [*LEXICON.items(), *GENERAL.items()]:
         for term in map(str.strip, terms.split(",")):
             term = _same(term)
             for w in (term, *_variants(term)):

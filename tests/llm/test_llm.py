@@ -202,6 +202,18 @@ def test_harmless(text):
     assert abuse.score_text(text)[4] < abuse.THRESHOLD
 
 
+@pytest.mark.parametrize("text", [
+    "you fucking liar", "What a FUCKER", "he is retarded", "I will rape you", "someone should kill him", "We will kill them all.", "those niggers", "you f@ggot",
+])
+def test_general_abuse_is_found(text):
+    assert abuse.score_text(text)[4] >= abuse.THRESHOLD
+
+
+@pytest.mark.parametrize("text", ["rape seed oil", "the process will kill them", "fire retardant paint", "a report says she was raped", "Nigeria and Niger", "growth is retarded by cold"])
+def test_general_words_of_harmless_use(text):
+    assert abuse.score_text(text)[4] < abuse.THRESHOLD
+
+
 def test_abuse_table(spark):
     df = spark.createDataFrame([(1, "a", "You moron."), (2, "a", None), (3, None, "fine " * 5000), (4, "b", "fine " * 500 + "you moron")], "sent_id long, source string, mt string")
     scored = abuse.score_texts(df, "sent_id", "mt", ("source",))
