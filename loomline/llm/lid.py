@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from loomline.session import written
+
 #: Bound of the training sample: documents per language, and bytes of a document.
 SAMPLE_DOCS, SAMPLE_BYTES = 200, 8_192
 #: Gain in log probability that a further segment has to bring.
@@ -414,18 +416,32 @@ def language_cases(docs: DataFrame, langs: list[str], net: ByteGRU | None = None
     return segment_labels(docs, langs, net or train(docs, langs)).where("label IS NULL OR several OR label <> lang").select("doc_id", "seg_no", "lang")
 
 
+def text_segments(docs: DataFrame, langs: list[str], net: ByteGRU | None = None) -> DataFrame:
+    """(doc_id, seg_no, lang, words, confidence) of every segment of every document; a document without words (null,
+    empty, or signs only) has one row with null seg_no, lang and confidence and no words."""
+    net = net or train(docs, langs)
+    found = written(segment_labels(docs, langs, net).select("doc_id", "seg_no", "lang", "words", "confidence"), "segments")
+    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
+    none = ids.join(found.select("doc_id"), "doc_id", "left_anti")
+    return found.unionByName(none.withColumn("words", F.lit(0).cast("long")), allowMissingColumns=True)
+
+
 def document_languages(docs: DataFrame, langs: list[str], net: ByteGRU | None = None) -> DataFrame:
     """(doc_id, label, lang, confidence, segments): the language with most words of each document with words, with
-    the word-weighted confidence of its segments times its share of the words."""
+    the word-weighted confidence of its segments times its share of the words. A document without words (null, empty, or
+    signs only) has null language and confidence and no segments."""
     net = net or train(docs, langs)
     per = segment_labels(docs, langs, net).groupBy("doc_id", "label", "lang").agg(F.sum("words").alias("w"), F.sum(F.col("words") * F.col("confidence")).alias("c"), F.count(F.lit(1)).alias("n"))
     best = per.groupBy("doc_id", "label").agg(F.max(F.struct("w", "lang", "c")).alias("top"), F.sum("w").alias("all"), F.sum("n").alias("segments"))
-    return best.select("doc_id", "label", "top.lang", (F.col("top.c") / F.col("all")).alias("confidence"), "segments")
+    found = written(best.select("doc_id", "label", "top.lang", (F.col("top.c") / F.col("all")).alias("confidence"), "segments"), "documents")
+    every = docs.select(F.col("doc_id").cast("long").alias("doc_id"), label_column("lang", langs).alias("label")).distinct()
+    none = every.join(found.select("doc_id"), "doc_id", "left_anti").withColumn("segments", F.lit(0).cast("long"))
+    return found.unionByName(none, allowMissingColumns=True)
 
 
 def filter_counts(predicted: DataFrame, config: DataFrame) -> DataFrame:
     """Per label (null: unknown): documents, kept, lid_filtered (confidence below the threshold of the predicted
-    language) and lid_mismatch (another language than the label). config is a fixed table, one row per language."""
+    language) and lid_mismatch (another language than the label). Documents without words are in documents only. config is a fixed table, one row per language."""
     limit = F.broadcast(config.groupBy("lang").agg(F.max("probability_threshold").alias("t")))
     low = F.col("confidence") < F.coalesce("t", F.lit(0.5))
     wrong = ~low & ~F.coalesce(F.col("label") == F.col("lang"), F.lit(False))

@@ -62,6 +62,12 @@ def p4_documents(spark: SparkSession, d: str) -> DataFrame:
     return document_languages(table(spark, d, "documents"), _langs(spark, d))
 
 
+def p4_segments(spark: SparkSession, d: str) -> DataFrame:
+    from loomline.llm.lid import text_segments
+
+    return text_segments(table(spark, d, "documents"), _langs(spark, d))
+
+
 def p4_counts(spark: SparkSession, d: str) -> DataFrame:
     from loomline.llm.lid import document_languages, filter_counts
 
@@ -144,7 +150,7 @@ def p9_pieces(spark: SparkSession, d: str) -> DataFrame:
 def queries() -> dict:
     return {
         "p1_found": p1_found, "p1_records": p1_records, "p2_found": p2_found, "p2_neighbors": p2_neighbors,
-        "p3_found": p3_found, "p3_rates": p3_rates, "p4_found": p4_found, "p4_documents": p4_documents, "p4_counts": p4_counts, "p5_found": p5_found, "p5_scores": p5_scores, "p5_rates": p5_rates, "p6_found": p6_found, "p6_cutoffs": p6_cutoffs,
+        "p3_found": p3_found, "p3_rates": p3_rates, "p4_found": p4_found, "p4_documents": p4_documents, "p4_segments": p4_segments, "p4_counts": p4_counts, "p5_found": p5_found, "p5_scores": p5_scores, "p5_rates": p5_rates, "p6_found": p6_found, "p6_cutoffs": p6_cutoffs,
         "p7_ids": p7_ids, "p7_round_trip": p7_round_trip, "p8_mixture": p8_mixture, "p8_shares": p8_shares, "p9_found": p9_found, "p9_pieces": p9_pieces,
     }
 

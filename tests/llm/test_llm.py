@@ -151,6 +151,20 @@ def test_languages(spark):
     assert lid.known_label("pt-PT", ["por_Latn"]) == "por_Latn" and lid.known_label("mul", ["por_Latn"]) is None
 
 
+def test_texts_without_words_have_rows(spark):
+    langs = sorted(SENTENCES)
+    rows = [(1, SENTENCES["deu_Latn"], "de"), (2, None, "de"), (3, "", None), (4, "... --- !", "eng_Latn")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    net = lid.train(spark.createDataFrame([(i, SENTENCES[g] + "\n" + SENTENCES[g], g) for i, g in enumerate(langs * 4)], "doc_id long, text string, lang string"), langs)
+    found = lid.text_segments(df, langs, net).collect()
+    assert all(r.lang in langs and 0 < r.confidence <= 1 and r.words > 0 for r in found if r.doc_id == 1)
+    assert {(r.doc_id, r.seg_no, r.lang, r.words, r.confidence) for r in found if r.doc_id != 1} == {(i, None, None, 0, None) for i in (2, 3, 4)}
+    docs = lid.document_languages(df, langs, net)
+    assert {(r.doc_id, r.label, r.lang, r.confidence, r.segments) for r in docs.collect() if r.doc_id != 1} == {(2, "deu_Latn", None, None, 0), (3, None, None, None, 0), (4, "eng_Latn", None, None, 0)}
+    config = spark.createDataFrame([(g, 0.5) for g in langs], "lang string, probability_threshold double")
+    assert {r.label: r.documents for r in lid.filter_counts(docs, config).collect()} == {"deu_Latn": 2, None: 1, "eng_Latn": 1}
+
+
 def test_backpropagation_against_differences():
     net = lid.ByteGRU(3, hidden=4, seed=1)
     net.p = {k: v.astype(np.float64) for k, v in net.p.items()}
