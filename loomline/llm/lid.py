@@ -1,10 +1,9 @@
 """Problem 4: the language of every document and of every stretch of it.
 
-A bidirectional gated recurrent network reads the bytes of a word and labels every position
-with language probabilities; it is trained here, in numpy, by backpropagation through time on a
-bounded sample of labelled documents. Its state starts anew at every word, so a word is labelled once
-per worker however often it occurs. Word evidence is pooled to sentences, sentences to segments by
-dynamic programming, and everything to document probabilities.
+A bidirectional gated recurrent network reads the bytes of each sentence from both ends and labels
+every position with language scores; it is trained here, in numpy, by backpropagation through time on
+a bounded sample of labelled documents. The scores of positions are pooled to sentences, sentences to
+segments by dynamic programming, and everything to document probabilities.
 """
 
 from __future__ import annotations
@@ -13,21 +12,26 @@ import hashlib
 import html
 import re
 import unicodedata
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomline.session import written
 
 #: Bound of the training sample: documents per language, and bytes of a document.
 SAMPLE_DOCS, SAMPLE_BYTES = 200, 8_192
-#: Gain in log probability that a further segment has to bring.
+#: Gain in pooled log probability that a further segment has to bring.
 SEGMENT_COST = 8.0
-_HIDDEN, _EPOCHS, _BATCH, _RARE = 24, 40, 256, 3_000
+#: Positions that count as one independent observation when a sentence is pooled.
+OBSERVED = 6.0
+#: A sentence of more bytes is read in chunks of this size, which share this many bytes with the next.
+CHUNK, SHARED = 640, 64
+_HIDDEN, _SPAN, _BATCH, _STEPS, _SMOOTH = 12, 48, 160, 240, 0.02
+#: Sentences read side by side, and bytes of text that are labelled at once.
+_SIDE, _BYTES = 4_096, 4 << 20
 
 # Other names of the languages in labels.
 ALIASES = {
@@ -39,7 +43,9 @@ _CODE = re.compile(r"```.*?(?:```|\Z)|`[^`\n]*`", re.S)
 _TAG = re.compile(r"<[^<>\n]{1,200}>")
 _LINK = re.compile(r"\w+://\S+|\bwww\.\S+|\S+@\S+\.\w+")
 _HIDDEN_CHARS = re.compile("[­​-‏⁠﻿]")
-_TOKEN = re.compile(r"\w+|[.!?…]+(?=\s|$)|\n")
+_ENDS = re.compile(r"[.!?…]+(?=\s|$)|\n")
+#: Signs of one byte only separate words, digits and underscores become 0, bytes of longer characters are kept.
+_LETTERS = bytes(b if b >= 128 or chr(b).isalpha() else 48 if chr(b).isdigit() or b == 95 else 32 for b in range(256))
 
 
 def known_label(label: str | None, langs: list[str]) -> str | None:
@@ -71,230 +77,230 @@ def clean(text: str) -> str:
 # ---------------------------------------------------------------- the network
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-x))
-
-
 class ByteGRU:
-    """Gated recurrent layers in both directions over bytes, with a label at every position.
+    """Gated recurrent layers in both directions over bytes, with language scores at every position.
 
-    The byte embedding is folded into the input weights of the three gates (one table per direction).
+    Gates are piecewise linear (clipped to 0..1, the candidate to -1..1). The byte embedding is folded
+    into the input weights of each gate: x is a table of bytes by hidden units, u acts on the state.
     """
 
     def __init__(self, langs: int, hidden: int = _HIDDEN, seed: int = 3):
         r = np.random.default_rng(seed)
         self.h, self.langs = hidden, langs
         f = np.float32
+        start = {"z": 0.7, "r": 0.5, "n": 0.0}
         self.p = {
-            **{f"x{d}": (r.standard_normal((256, 3 * hidden)) * 0.3).astype(f) for d in "fb"},
-            **{f"u{d}": (r.standard_normal((hidden, 3 * hidden)) / np.sqrt(hidden)).astype(f) for d in "fb"},
-            **{f"c{d}": np.zeros(3 * hidden, f) for d in "fb"},
+            **{f"x{g}{d}": (start[g] + r.standard_normal((256, hidden)) * 0.2).astype(f) for d in "fb" for g in "zrn"},
+            **{f"u{g}{d}": (r.standard_normal((hidden, hidden)) * 0.5 / np.sqrt(hidden)).astype(f) for d in "fb" for g in "zrn"},
             **{f"w{d}": (r.standard_normal((hidden, langs)) / np.sqrt(hidden)).astype(f) for d in "fb"},
             "b": np.zeros(langs, f),
         }
 
-    @staticmethod
-    def pack(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Bytes (T, B) from the front, from the back, and which positions exist."""
-        n = np.array([len(w) for w in words])
-        t = int(n.max())
-        fwd = np.zeros((len(words), t), np.uint8)
-        for i, w in enumerate(words):
-            fwd[i, : len(w)] = np.frombuffer(w, np.uint8)
-        place = n[:, None] - 1 - np.arange(t)[None, :]
-        bwd = np.take_along_axis(fwd, np.maximum(place, 0), 1)
-        return fwd.T, bwd.T, (place >= 0).T
-
-    def _layer(self, d: str, bytes_: np.ndarray, mask: np.ndarray, tape: list | None):
-        h, p = self.h, self.p
-        gates = p[f"x{d}"] + p[f"c{d}"]
-        u_zr, u_n = p[f"u{d}"][:, : 2 * h], p[f"u{d}"][:, 2 * h :]
-        state = np.zeros((bytes_.shape[1], h), np.float32)
-        out = np.empty((*bytes_.shape, h), np.float32)
-        for t in range(len(bytes_)):
-            g = gates[bytes_[t]]
-            zr = _sigmoid(g[:, : 2 * h] + state @ u_zr)
-            z, r = zr[:, :h], zr[:, h:]
-            n = np.tanh(g[:, 2 * h :] + (r * state) @ u_n)
-            new = np.where(mask[t][:, None], z * state + (1 - z) * n, state)
-            if tape is not None:
-                tape.append((state, z, r, n))
-            state = out[t] = new
-        return out
-
-    @staticmethod
-    def _turned(x: np.ndarray, mask: np.ndarray) -> np.ndarray:
-        """Backward states put at the positions they belong to (and back again)."""
-        place = mask.sum(0)[None, :] - 1 - np.arange(len(mask))[:, None]
-        return np.take_along_axis(x, np.maximum(place, 0)[:, :, None], 0)
-
-    def labels(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Log probabilities (T, B, langs) of every position, and which positions exist."""
-        f, b, mask = self.pack(words)
-        logits = self._layer("f", f, mask, None) @ self.p["wf"] + self._turned(self._layer("b", b, mask, None), mask) @ self.p["wb"] + self.p["b"]
-        logits -= logits.max(2, keepdims=True)
-        return logits - np.log(np.exp(logits).sum(2, keepdims=True)), mask
-
-    def score(self, words: list[str]) -> np.ndarray:
-        """Evidence (n, langs) of words: the mean log probability of their positions."""
-        raw = [w.encode() for w in words]
-        out = np.zeros((len(raw), self.langs), np.float32)
-        order = sorted(range(len(raw)), key=lambda i: len(raw[i]))
-        at = 0
-        while at < len(order):
-            # lengths within a batch are alike; very long words don't pad many others
-            top = max(2 * len(raw[order[at]]), 8)
-            end = at + 1
-            while end < len(order) and end - at < 2_048 and len(raw[order[end]]) <= top:
-                end += 1
-            some = order[at:end]
-            lp, mask = self.labels([raw[i] for i in some])
-            m = mask[:, :, None]
-            out[some] = (lp * m).sum(0) / m.sum(0)
-            at = end
+    def _summed(self, d: str, flat: np.ndarray, first: np.ndarray, size: np.ndarray, way: int) -> np.ndarray:
+        """Sum of the states at all positions of each sequence. Sequences come longest first, so
+        those still running at a step stand at the front."""
+        p, h, n = self.p, self.h, len(first)
+        state, total = np.zeros((n, h), np.float32), np.zeros((n, h), np.float32)
+        z, r, c, x = (np.empty((n, h), np.float32) for _ in range(4))
+        running = n - np.searchsorted(size[::-1], np.arange(int(size[0])), side="right")
+        for t, k in enumerate(running.tolist()):
+            at = flat[first[:k] + way * t]
+            s, zk, rk, ck, xk = state[:k], z[:k], r[:k], c[:k], x[:k]
+            for gate, out, low in (("z", zk, 0.0), ("r", rk, 0.0), ("n", ck, -1.0)):
+                np.matmul(rk if gate == "n" else s, p[f"u{gate}{d}"], out=out)
+                out += np.take(p[f"x{gate}{d}"], at, 0, out=xk, mode="clip")
+                np.clip(out, low, 1.0, out=out)
+                if gate == "r":
+                    rk *= s
+            s -= ck
+            s *= zk
+            s += ck
+            total[:k] += s
+        return total
+
+    def score(self, lines: list[bytes]) -> np.ndarray:
+        """Scores (n, langs) of byte sequences, summed over their positions. The scores of a position are its
+        log probabilities but for a term all languages have in common, so their sums compare alike."""
+        flat = np.frombuffer(b"".join(lines), np.uint8).astype(np.intp)
+        size = np.array([len(x) for x in lines], np.int64)
+        first = np.concatenate([[0], np.cumsum(size)[:-1]]).astype(np.int64) if len(lines) else size
+        order = np.argsort(-size, kind="stable")
+        out = np.zeros((len(lines), self.langs), np.float32)
+        for lo in range(0, len(order), _SIDE):
+            some = order[lo : lo + _SIDE]
+            if not size[some[0]]:
+                break
+            f = self._summed("f", flat, first[some], size[some], 1)
+            b = self._summed("b", flat, first[some] + size[some] - 1, size[some], -1)
+            out[some] = f @ self.p["wf"] + b @ self.p["wb"] + size[some, None] * self.p["b"]
         return out
 
-    def gradients(self, words: list[bytes], target: np.ndarray, weight: np.ndarray) -> tuple[float, dict]:
-        """Loss and its gradients by backpropagation through time, in both directions."""
-        p, h = self.p, self.h
-        f, b, mask = self.pack(words)
-        tf: list = []
-        tb: list = []
-        hf, hb = self._layer("f", f, mask, tf), self._layer("b", b, mask, tb)
-        hb_at = self._turned(hb, mask)
-        logits = hf @ p["wf"] + hb_at @ p["wb"] + p["b"]
+    def _states(self, d: str, bytes_: np.ndarray) -> list[tuple[np.ndarray, ...]]:
+        """(state before, z, r, candidate, state after) at each step of sequences of one length."""
+        p, s, tape = self.p, np.zeros((bytes_.shape[1], self.h), np.float32), []
+        for at in bytes_:
+            z = np.clip(s @ p[f"uz{d}"] + p[f"xz{d}"][at], 0, 1)
+            r = np.clip(s @ p[f"ur{d}"] + p[f"xr{d}"][at], 0, 1)
+            c = np.clip((r * s) @ p[f"un{d}"] + p[f"xn{d}"][at], -1, 1)
+            new = z * s + (1 - z) * c
+            tape.append((s, z, r, c, new))
+            s = new
+        return tape
+
+    def labels(self, bytes_: np.ndarray) -> tuple[np.ndarray, list, list]:
+        """Log probabilities (T, B, langs) of every position of sequences (T, B), and the tapes of both layers."""
+        tf, tb = self._states("f", bytes_), self._states("b", bytes_[::-1])
+        hf, hb = np.stack([x[4] for x in tf]), np.stack([x[4] for x in tb[::-1]])
+        logits = hf @ self.p["wf"] + hb @ self.p["wb"] + self.p["b"]
         logits -= logits.max(2, keepdims=True)
-        lp = logits - np.log(np.exp(logits).sum(2, keepdims=True))
-        share = (mask * (weight / mask.sum(0))[None, :] / weight.sum()).astype(np.float32)[:, :, None]
-        loss = float(-(share * target[None] * lp).sum())
-        dl = share * (np.exp(lp) - target[None])
-        g = {"b": dl.sum((0, 1)), "wf": np.tensordot(hf, dl, ((0, 1), (0, 1))), "wb": np.tensordot(hb_at, dl, ((0, 1), (0, 1)))}
-        back = self._turned((dl @ p["wb"].T), mask) * mask[:, :, None]
-        for d, bytes_, tape, down in (("f", f, tf, dl @ p["wf"].T), ("b", b, tb, back)):
-            u_zr, u_n = p[f"u{d}"][:, : 2 * h], p[f"u{d}"][:, 2 * h :]
-            carry = np.zeros_like(tape[0][0])
-            du = np.zeros_like(p[f"u{d}"])
-            da_all = np.empty((*bytes_.shape, 3 * h), np.float32)
-            for t in range(len(bytes_) - 1, -1, -1):
-                s, z, r, n = tape[t]
-                m = mask[t][:, None]
-                dh = carry + down[t]
-                live = dh * m
-                dn = live * (1 - z) * (1 - n * n)
-                drs = dn @ u_n.T
-                dz = live * (s - n) * z * (1 - z)
-                dr = drs * s * r * (1 - r)
-                dzr = np.concatenate([dz, dr], 1)
-                du[:, : 2 * h] += s.T @ dzr
-                du[:, 2 * h :] += (r * s).T @ dn
-                da_all[t, :, : 2 * h], da_all[t, :, 2 * h :] = dzr, dn
-                carry = np.where(m, live * z + drs * r + dzr @ u_zr.T, dh)
-            flat = da_all.reshape(-1, 3 * h)
-            hot = np.zeros((flat.shape[0], 256), np.float32)
-            hot[np.arange(len(flat)), bytes_.reshape(-1)] = 1
-            g[f"x{d}"], g[f"u{d}"], g[f"c{d}"] = hot.T @ flat, du, flat.sum(0)
+        return logits - np.log(np.exp(logits).sum(2, keepdims=True)), tf, tb
+
+    def gradients(self, bytes_: np.ndarray, target: np.ndarray) -> tuple[float, dict]:
+        """Mean loss over all positions of sequences (T, B) of the languages `target` (B), and its gradients by
+        backpropagation through time, in both directions."""
+        p, (steps, n) = self.p, bytes_.shape
+        lp, tf, tb = self.labels(bytes_)
+        dl = np.exp(lp)
+        # a share of each label goes to the other languages, which bounds what one position can say
+        wanted = np.full((n, self.langs), _SMOOTH / max(1, self.langs - 1), np.float32)
+        wanted[np.arange(n), target] = 1 - _SMOOTH
+        loss = -float((lp * wanted).sum(2).mean())
+        dl -= wanted
+        dl /= steps * n
+        g = {"b": dl.sum((0, 1))}
+        for d, tape, rows, down in (("f", tf, bytes_, dl), ("b", tb, bytes_[::-1], dl[::-1])):
+            g[f"w{d}"] = np.tensordot(np.stack([x[4] for x in tape]), down, ((0, 1), (0, 1)))
+            back = down @ p[f"w{d}"].T
+            carry = np.zeros((n, self.h), np.float32)
+            pre = np.empty((steps, n, 3 * self.h), np.float32)
+            for k in "zrn":
+                g[f"u{k}{d}"] = np.zeros_like(p[f"u{k}{d}"])
+            for t in range(steps - 1, -1, -1):
+                s, z, r, c, _ = tape[t]
+                dh = carry + back[t]
+                dn = dh * (1 - z) * (np.abs(c) < 1)
+                dz = dh * (s - c) * ((z > 0) & (z < 1))
+                drs = dn @ p[f"un{d}"].T
+                dr = drs * s * ((r > 0) & (r < 1))
+                np.concatenate([dz, dr, dn], 1, out=pre[t])
+                g[f"uz{d}"] += s.T @ dz
+                g[f"ur{d}"] += s.T @ dr
+                g[f"un{d}"] += (r * s).T @ dn
+                carry = dh * z + drs * r + dz @ p[f"uz{d}"].T + dr @ p[f"ur{d}"].T
+            flat = rows.reshape(-1)
+            order = np.argsort(flat, kind="stable")
+            values, starts = np.unique(flat[order], return_index=True)
+            table = np.zeros((256, 3 * self.h), np.float32)
+            table[values] = np.add.reduceat(pre.reshape(-1, 3 * self.h)[order], starts, axis=0)
+            for i, k in enumerate("zrn"):
+                g[f"x{k}{d}"] = table[:, i * self.h : (i + 1) * self.h]
         return loss, g
 
-    def fit(self, words: list[str], target: np.ndarray, weight: np.ndarray, epochs: int = _EPOCHS, batch: int = _BATCH, rate: float = 0.012, seed: int = 5) -> list[float]:
-        """Adam over shuffled batches of words of like length; the loss of each epoch."""
-        raw = [w.encode() for w in words]
+    def fit(self, lines: list[bytes], langs: np.ndarray, steps: int = _STEPS, batch: int = _BATCH, span: int = _SPAN, rate: float = 0.02, seed: int = 5) -> list[float]:
+        """Adam over random spans of the text of each language, all languages alike; the loss of each step.
+
+        After a third of the steps, lines that the network gives another language than their label are left out: some labels are wrong."""
         r = np.random.default_rng(seed)
         m = {k: np.zeros_like(v) for k, v in self.p.items()}
         v2 = {k: np.zeros_like(v) for k, v in self.p.items()}
-        step, losses = 0, []
-        for epoch in range(epochs):
-            noise = r.random(len(raw)) * 3
-            order = np.argsort([len(w) for w in raw] + noise, kind="stable")
-            parts = [order[i : i + batch] for i in range(0, len(order), batch)]
-            total = 0.0
-            for i in r.permutation(len(parts)):
-                some = parts[i]
-                loss, g = self.gradients([raw[j] for j in some], target[some], weight[some])
-                total += loss
-                step += 1
-                lr = rate * (1 - 0.9 * epoch / epochs)
-                for k in self.p:
-                    m[k] = 0.9 * m[k] + 0.1 * g[k]
-                    v2[k] = 0.99 * v2[k] + 0.01 * g[k] * g[k]
-                    self.p[k] -= (lr * (m[k] / (1 - 0.9**step)) / (np.sqrt(v2[k] / (1 - 0.99**step)) + 1e-8)).astype(np.float32)
-            losses.append(total / max(1, len(parts)))
+        losses: list[float] = []
+        texts = _joined(lines, langs, self.langs, span)
+        for step in range(1, steps + 1):
+            if step == steps // 3:
+                sure = self.score(lines).argmax(1) == langs
+                texts = _joined([x for x, ok in zip(lines, sure, strict=True) if ok], langs[sure], self.langs, span)
+            known = [k for k, t in enumerate(texts) if len(t) >= span]
+            if not known:
+                break
+            target = np.array(known)[np.arange(batch) % len(known)]
+            at = [int(r.integers(0, len(texts[k]) - span + 1)) for k in target]
+            rows = np.stack([texts[k][a : a + span] for k, a in zip(target, at, strict=True)], 1)
+            loss, g = self.gradients(rows, target)
+            losses.append(loss)
+            lr = rate * min(1, step / 20) * (1 - 0.95 * step / steps)
+            for k in self.p:
+                m[k] = 0.9 * m[k] + 0.1 * g[k]
+                v2[k] = 0.99 * v2[k] + 0.01 * g[k] * g[k]
+                self.p[k] -= (lr * (m[k] / (1 - 0.9**step)) / (np.sqrt(v2[k] / (1 - 0.99**step)) + 1e-8)).astype(np.float32)
         return losses
 
 
-def training_words(texts: list[str], labels: list[str], langs: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """Distinct words of a labelled sample, the share of each language in each (languages taken
-    as equally frequent), and weights. Of the words seen once, which are mostly names, a part stands for all."""
-    counts: dict[str, np.ndarray] = {}
-    for t, lang in zip(texts, labels, strict=True):
-        k = langs.index(lang)
-        for w, n in Counter(x for x in _TOKEN.findall(clean(t)) if x.isalpha()).items():
-            if w not in counts:
-                counts[w] = np.zeros(len(langs))
-            counts[w][k] += n
-    often = sorted(w for w, c in counts.items() if c.sum() >= 2)
-    once = sorted(w for w, c in counts.items() if c.sum() < 2)
-    words = often + once[:: max(1, len(once) // _RARE)][:_RARE]
-    if not words:
-        return [], np.zeros((0, len(langs)), np.float32), np.zeros(0, np.float32)
-    c = np.stack([counts[w] for w in words])
-    whole = np.maximum(np.stack(list(counts.values())).sum(0), 1)
-    rate = c / whole[None, :] + 1e-12
-    return words, (rate / rate.sum(1, keepdims=True)).astype(np.float32), np.minimum(np.sqrt(c.sum(1)), 40).astype(np.float32)
+def _joined(lines: list[bytes], langs: np.ndarray, count: int, span: int) -> list[np.ndarray]:
+    return [np.frombuffer(b"".join(x for x, own in zip(lines, langs, strict=True) if own == k), np.uint8).astype(np.intp) for k in range(count)]
 
 
-def train(docs: DataFrame, langs: list[str], sample_docs: int = SAMPLE_DOCS, sample_bytes: int = SAMPLE_BYTES) -> ByteGRU:
-    """A network fitted on at most sample_docs documents per language whose label is exactly one of
-    langs, of at most sample_bytes bytes each, picked by a hash of their id. Some labels are wrong;
-    pooled over a language's words they weigh little."""
-    pick = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    own = docs.where(F.col("lang").isin(langs) & (F.octet_length("text") <= sample_bytes)).select("doc_id", "text", "lang")
-    rows = own.withColumn("rn", F.row_number().over(pick)).where(F.col("rn") <= sample_docs).select("text", "lang", "doc_id").collect()
-    rows.sort(key=lambda r: (r.lang, r.doc_id))
-    net = ByteGRU(len(langs))
-    words, target, weight = training_words([r.text for r in rows], [r.lang for r in rows], langs)
-    if words:
-        net.fit(words, target, weight)
-    return net
+def sentences(text: str) -> list[bytes]:
+    """The sentences of a text that have words, as the network reads them: words without digits or underscores
+    (which are numbers, codes and names of files), between single blanks."""
+    out = []
+    for line in _ENDS.sub("\n", clean(text)).split("\n"):
+        raw = line.encode().translate(_LETTERS)
+        words = raw.split()
+        if b"0" in raw:
+            words = [w for w in words if b"0" not in w]
+        if words and (raw.isascii() or any(map(str.isalpha, line))):
+            out.append(b" " + b" ".join(words) + b" ")
+    return out
 
 
-# ---------------------------------------------------------------- pooling
+def sample(docs: DataFrame, langs: list[str], sample_docs: int = SAMPLE_DOCS, sample_bytes: int = SAMPLE_BYTES) -> list:
+    """(text, lang, doc_id) of at most sample_docs documents per language whose label is exactly one of langs, of at
+    most sample_bytes bytes each: those with the least hash of their id. They are found by a bound on the hash
+    that follows from the number of documents of each language, so no task sorts a language."""
+    own = docs.where(F.col("lang").isin(langs) & (F.octet_length("text") <= sample_bytes))
+    found = {r["lang"]: r["count"] for r in own.groupBy("lang").count().collect()}
+    near = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
+    most = F.lit(0)
+    for lang, n in sorted(found.items()):
+        share = min(1.0, (1.3 * sample_docs + 40) / n)
+        most = F.when(F.col("lang") == lang, F.lit(int(share * (1 << 30)))).otherwise(most)
+    rows = own.where(near < most).select("text", "lang", "doc_id", near.alias("near")).collect()
+    rows.sort(key=lambda r: (r.lang, r.near, r.doc_id))
+    out, seen = [], dict.fromkeys(langs, 0)
+    for r in rows:
+        seen[r.lang] += 1
+        if seen[r.lang] <= sample_docs:
+            out.append(r)
+    return out
 
 
-class Evidence(dict):
-    """Row number of every token's evidence: 0 (none) for what isn't a word, -1 for the end of a
-    sentence. Words unknown so far are scored together by settle(). Starts anew at half a million words."""
+_fitted: dict[str, ByteGRU] = {}
 
-    def __init__(self, net: ByteGRU):
-        super().__init__()
-        self.net, self.new = net, []
-        self.rows = np.zeros((1, net.langs), np.float32)
-        self.used = 1
 
-    def __missing__(self, token: str) -> int:
-        if token.isalpha():
-            n = self.used
-            self.used += 1
-            self.new.append(token)
-        else:
-            n = -1 if not (token[0].isalnum() or token[0] == "_") else 0
-        self[token] = n
-        return n
-
-    def settle(self) -> np.ndarray:
-        if self.new:
-            scored = self.net.score(self.new)
-            if len(self.rows) < self.used:
-                grown = np.zeros((max(2 * len(self.rows), self.used), self.net.langs), np.float32)
-                grown[: len(self.rows)] = self.rows
-                self.rows = grown
-            self.rows[self.used - len(self.new) : self.used] = scored
-            self.new = []
-        return self.rows
-
-    def trim(self) -> None:
-        if self.used > 500_000:
-            self.clear()
-            self.new, self.rows, self.used = [], np.zeros((1, self.net.langs), np.float32), 1
+def train(docs: DataFrame, langs: list[str], sample_docs: int = SAMPLE_DOCS, sample_bytes: int = SAMPLE_BYTES) -> ByteGRU:
+    """A network fitted on the sentences of sample(). The same sample is fitted once per process."""
+    rows = sample(docs, langs, sample_docs, sample_bytes)
+    key = hashlib.md5(repr((langs, [(r.lang, r.doc_id, r.text) for r in rows])).encode()).hexdigest()
+    if key not in _fitted:
+        net, lines, own = ByteGRU(len(langs)), [], []
+        for r in rows:
+            some = sentences(r.text)
+            lines += some
+            own += [langs.index(r.lang)] * len(some)
+        if lines:
+            net.fit(lines, np.array(own))
+        _fitted.clear()
+        _fitted[key] = net
+    return _fitted[key]
+
+
+# ---------------------------------------------------------------- pooling
+
+
+def evidence(net: ByteGRU, lines: list[bytes]) -> np.ndarray:
+    """Pooled log probabilities (n, langs) of sentences, that of the best language being 0. Long ones are read in
+    chunks. Neighbouring positions repeat each other, so OBSERVED of them count as one."""
+    parts, owner = [], []
+    for i, x in enumerate(lines):
+        for lo in range(0, max(1, len(x) - SHARED), CHUNK - SHARED) if len(x) > CHUNK else (0,):
+            parts.append(x[lo : lo + CHUNK] if len(x) > CHUNK else x)
+            owner.append(i)
+    scored = net.score(parts)
+    if len(parts) > len(lines):
+        total = np.zeros((len(lines), net.langs), np.float32)
+        np.add.at(total, owner, scored)
+        scored = total
+    return (scored - scored.max(1, keepdims=True)) / OBSERVED
 
 
 def segments(scores: np.ndarray, cost: float = SEGMENT_COST) -> list[tuple[int, int, int]]:
@@ -329,10 +335,10 @@ def segments(scores: np.ndarray, cost: float = SEGMENT_COST) -> list[tuple[int,
     return out[::-1]
 
 
-_nets: dict[str, Evidence] = {}
+_nets: dict[str, ByteGRU] = {}
 
 
-def labelled(weights: dict[str, np.ndarray], langs: int, key: str, docs: int = 500):
+def labelled(weights: dict[str, np.ndarray], langs: int, key: str):
     """Arrow function: (doc_id, seg_no, lang number, words, confidence) of each segment of each document with words.
     The confidence is the pooled probability of the segment's language."""
 
@@ -341,39 +347,33 @@ def labelled(weights: dict[str, np.ndarray], langs: int, key: str, docs: int = 5
             net = ByteGRU(langs)
             net.p = weights
             _nets.clear()
-            _nets[key] = Evidence(net)
-        memo = _nets[key]
+            _nets[key] = net
+        net = _nets[key]
         for b in batches:
-            for at in range(0, b.num_rows, docs):
-                part = b.slice(at, docs)
-                ids, numbers, size = part.column("doc_id").to_pylist(), [], []
-                for t in part.column("text").to_pylist():
-                    n = list(map(memo.__getitem__, _TOKEN.findall(clean(t)))) if t else []
-                    n.append(-1)
-                    numbers += n
-                    size.append(len(n))
-                rows = memo.settle()
-                token = np.array(numbers, np.int64)
-                ends = np.flatnonzero(token == -1)
-                owner = np.searchsorted(np.cumsum(size), ends, side="right")
-                starts = np.concatenate([[0], ends[:-1] + 1])
-                words = np.add.reduceat(np.concatenate([(token > 0), [False]]).astype(np.int64), starts)
-                words[starts >= len(token)] = 0
-                token[ends] = 0
-                held = np.add.reduceat(rows[token], starts, axis=0)
-                keep = words > 0
-                held, owner, words = held[keep], owner[keep], words[keep]
+            ids, texts = b.column("doc_id").to_pylist(), b.column("text").to_pylist()
+            at = 0
+            while at < len(ids):
+                lines: list[bytes] = []
+                owner: list[int] = []
+                held, start = 0, at
+                while at < len(ids) and (held < _BYTES or at == start):
+                    some = sentences(texts[at]) if texts[at] else []
+                    lines += some
+                    owner += [at] * len(some)
+                    held += sum(map(len, some))
+                    at += 1
+                scores = evidence(net, lines)
+                words = np.array([x.count(b" ") - 1 for x in lines], np.int64)
+                edges = np.searchsorted(owner, np.arange(start, at + 1))
                 out: list[tuple] = []
-                edges = np.searchsorted(owner, np.arange(len(ids) + 1))
-                for i, (lo, hi) in enumerate(zip(edges[:-1], edges[1:], strict=True)):
+                for i, lo, hi in zip(range(start, at), edges[:-1], edges[1:], strict=True):
                     if lo == hi:
                         continue
-                    for k, (s, e, lang) in enumerate(segments(held[lo:hi])):
-                        pooled = held[lo + s : lo + e].sum(0).astype(np.float64)
-                        n = int(words[lo + s : lo + e].sum())
+                    for k, (s, e, lang) in enumerate(segments(scores[lo:hi])):
+                        pooled = scores[lo + s : lo + e].sum(0).astype(np.float64)
+                        n = max(1, int(words[lo + s : lo + e].sum()))
                         # words of a text aren't independent: their evidence counts with its root
-                        out.append((ids[i], k, lang, n, float(1 / np.exp((pooled - pooled[lang]) / np.sqrt(n)).sum())))
-                memo.trim()
+                        out.append((ids[i], k, lang, n, float(1 / np.exp(np.minimum((pooled - pooled[lang]) / np.sqrt(n), 700)).sum())))
                 cols = list(zip(*out, strict=True)) if out else [[]] * 5
                 kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.float64())
                 yield pa.record_batch([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["doc_id", "seg_no", "l", "words", "confidence"])

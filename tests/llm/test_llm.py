@@ -168,19 +168,36 @@ def test_texts_without_words_have_rows(spark):
 def test_backpropagation_against_differences():
     net = lid.ByteGRU(3, hidden=4, seed=1)
     net.p = {k: v.astype(np.float64) for k, v in net.p.items()}
-    words, r = [b"abc", b"a", b"zzyx"], np.random.default_rng(0)
-    target, weight = r.dirichlet(np.ones(3), 3), np.array([1.0, 2.0, 0.5])
-    _, g = net.gradients(words, target, weight)
+    rows, target, r = np.array([list(b"abc"), list(b"zab"), list(b"zzy")], np.intp).T, np.array([0, 2, 1]), np.random.default_rng(0)
+    _, g = net.gradients(rows, target)
     for k in net.p:
         flat = net.p[k].reshape(-1)
-        for at in r.permutation(flat.size)[:6] if k[0] != "x" else [ord("a") * 12 + 3, ord("z") * 12 + 9, ord("b") * 12]:
+        for at in r.permutation(flat.size)[:6] if k[0] != "x" else [ord("a") * 4 + 3, ord("z") * 4 + 1, ord("b") * 4]:
             old = flat[at]
-            flat[at] = old + 1e-4
-            up = net.gradients(words, target, weight)[0]
-            flat[at] = old - 1e-4
-            down = net.gradients(words, target, weight)[0]
+            flat[at] = old + 1e-5
+            up = net.gradients(rows, target)[0]
+            flat[at] = old - 1e-5
+            down = net.gradients(rows, target)[0]
             flat[at] = old
-            assert abs((up - down) / 2e-4 - g[k].reshape(-1)[at]) < 2e-4, (k, at)
+            assert abs((up - down) / 2e-5 - g[k].reshape(-1)[at]) < 2e-4, (k, at)
+
+
+def test_pooled_scores_are_those_of_the_positions():
+    net = lid.ByteGRU(3, hidden=4, seed=1)
+    lines = [b" ab ", b" the cat ", b" x "]
+    got = net.score(lines)
+    for line, row in zip(lines, got, strict=True):
+        per = net.labels(np.frombuffer(line, np.uint8).astype(np.intp)[:, None])[0][:, 0].sum(0)
+        assert np.allclose(row - row[0], per - per[0], atol=1e-3)
+    long = b" " + b"the cat sat " * 400
+    assert lid.evidence(net, [long, *lines]).shape == (4, 3) and lid.evidence(net, [long]).max() == 0
+
+
+def test_training_sample_is_bounded_and_needs_no_order_of_a_language(spark):
+    df = spark.range(3000).selectExpr("id AS doc_id", "concat('text ', id) AS text", "if(id % 10 = 0, 'b', 'a') AS lang")
+    rows = lid.sample(df, ["a", "b", "c"], sample_docs=20)
+    assert {g: sum(r.lang == g for r in rows) for g in "abc"} == {"a": 20, "b": 20, "c": 0}
+    assert rows == lid.sample(df.repartition(7), ["a", "b", "c"], sample_docs=20)
 
 
 def test_segments_are_the_best_division():
