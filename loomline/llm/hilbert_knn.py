@@ -2,16 +2,18 @@
 
 Vectors are projected on a few random orthogonal directions, shifted by a random offset and
 numbered along a Hilbert curve; several such orderings differ in directions and offset.
-Spark range-partitions and sorts each ordering; in it, every window of rows is compared with
-itself and the windows before and after by whole-vector cosines, and the best of all
-orderings are merged. Equal vectors are represented once, with their smallest ids, so that
-any number of copies costs nothing. Vectors of a group too dense for a window (parallel or
-almost equal ones) are found by how many rows of a window are close to them, and are compared
-with all vectors in blocks.
+Spark range-partitions and sorts each ordering. A range of it, tens of thousands of vectors near each
+other, is ordered again along curves of its own; in each ordering every window of rows is compared with
+itself and the windows before and after by whole-vector cosines, and the best of all orderings are
+merged and ranked by exact cosines. The number of orderings grows with the number of vectors, so
+that recall doesn't fall. Equal vectors are represented once, with their smallest ids, so that any number
+of copies costs nothing. Vectors of a group too dense for a window (parallel or almost equal ones)
+are found by how many rows of a window are close to them, and are compared with all vectors in blocks.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,13 +21,30 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomline.session import skew_join, written
+from loomline.session import dropped, skew_join, written
 
-CURVES, WINDOW, DIMS, BITS = 10, 512, 12, 5
-#: A vector is crowded if more than a quarter of a window's rows have this cosine with it; rows of a block of the exact search.
+WINDOW, DIMS, BITS = 128, 12, 5
+#: Rows of a range: a sixth of all, within these bounds.
+LEAST_RANGE, MOST_RANGE = 4_096, 65_536
+#: Share of pairs at the least similarity of interest that all ranges together may miss.
+MISSED = 0.01
+#: A vector is crowded if more than a window's rows within three windows have this cosine with it; rows of a block of the exact search.
 CONE, BLOCK = 0.85, 16_384
 
 
+def range_rows(vectors: int) -> int:
+    """Rows of a range of an ordering of so many vectors."""
+    return max(LEAST_RANGE, min(MOST_RANGE, vectors // 6))
+
+
+def orderings(vectors: int, missed: float = MISSED) -> int:
+    """Orderings needed so that two vectors of cosine 0.85 share the range of at least one but for a share of
+    `missed`. Each halving of the vectors keeps such a pair together with probability 0.81 (measured; the two sides of a
+    random plane do so with 1 - arccos(0.85) / pi = 0.82)."""
+    together = 0.96 * 0.81 ** max(0.0, math.log2(max(1, vectors) / range_rows(vectors)))
+    return max(2, math.ceil(math.log(missed) / math.log(1 - together)))
+
+
 def hilbert_keys(cells: np.ndarray, bits: int) -> np.ndarray:
     """Position on the Hilbert curve of each row of non-negative cell numbers below 2**bits.
 
@@ -60,6 +79,12 @@ def _curve(number: int, dim: int, dims: int) -> tuple[np.ndarray, np.ndarray]:
     return q, r.random(min(dims, dim))
 
 
+def _cells(units: np.ndarray, directions: np.ndarray, shift: np.ndarray, bits: int) -> np.ndarray:
+    """Cell numbers of unit vectors; 70 % of an axis holds the data, the rest leaves room for the offset."""
+    at = ((units @ directions.astype(units.dtype)) * (np.sqrt(units.shape[1]) / 6.4) + 0.5) * 0.7 + 0.3 * shift
+    return np.clip(at * (1 << bits), 0, (1 << bits) - 1).astype(np.int64)
+
+
 def _units(col: pa.Array, dim: int) -> np.ndarray:
     e = col.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
     return e / np.linalg.norm(e, axis=1, keepdims=True)
@@ -68,18 +93,14 @@ def _units(col: pa.Array, dim: int) -> np.ndarray:
 def _keys(dim: int, curves: int, dims: int, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         drawn = [_curve(c, dim, dims) for c in range(curves)]
-        reach = 3.2 / np.sqrt(dim)
         for b in batches:
             if not b.num_rows:
                 continue
             e = _units(b.column("vec"), dim)
             for c, (directions, shift) in enumerate(drawn):
-                # 70 % of the axis holds the data, the rest leaves room for the offset
-                at = ((e @ directions) / (2 * reach) + 0.5) * 0.7 + 0.3 * shift
-                cells = np.clip(at * (1 << bits), 0, (1 << bits) - 1).astype(np.int64)
                 n = b.num_rows
                 yield pa.record_batch(
-                    [pa.array(np.full(n, c, np.int32)), pa.array(hilbert_keys(cells, bits)), b.column("id"), b.column("vec")],
+                    [pa.array(np.full(n, c, np.int32)), pa.array(hilbert_keys(_cells(e, directions, shift, bits), bits)), b.column("id"), b.column("vec")],
                     names=["curve", "key", "id", "vec"],
                 )
 
@@ -110,54 +131,97 @@ def _near_lists(ids: np.ndarray, nbr: np.ndarray, cos: np.ndarray) -> list[pa.Ar
     return [pa.array(ids), pa.ListArray.from_arrays(pa.array(offsets), pairs)]
 
 
-def _windows(dim: int, keep: int, window: int, cone: float):
-    def out(ids, nbr, cos, close):
-        return pa.record_batch([*_near_lists(ids, nbr, cos), pa.array(close > window // 4)], names=["id", "near", "crowded"])
+def _ranked(row: np.ndarray, cand: np.ndarray, cos: np.ndarray, ids: np.ndarray, n: int, most: int):
+    """Of candidates (row, cand, cos), each once, the `most` best of each row as arrays (n, most): candidates (-1 for none)
+    and cosines; of equal cosines the smaller ids."""
+    order = np.lexsort((cand, row))
+    row, cand, cos = row[order], cand[order], cos[order]
+    first = np.ones(len(row), bool)
+    first[1:] = (row[1:] != row[:-1]) | (cand[1:] != cand[:-1])
+    row, cand, cos = row[first], cand[first], cos[first]
+    order = np.lexsort((ids[cand], -cos, row))
+    row, cand, cos = row[order], cand[order], cos[order]
+    place = np.arange(len(row)) - np.searchsorted(row, row)
+    ok = place < most
+    best, top = np.full((n, most), -1, np.int64), np.full((n, most), -np.inf)
+    best[row[ok], place[ok]], top[row[ok], place[ok]] = cand[ok], cos[ok]
+    return best, top
+
+
+def nearest_in_range(ids: np.ndarray, units: np.ndarray, keep: int, window: int, cone: float, seed: int, dims: int = DIMS, bits: int = BITS):
+    """(neighbour ids, cosines, most close) of the rows of a range, given in the order of its curve.
+
+    Orderings of the range's own follow, as many as make up for the windows being a small part of it. Candidates are
+    found with single precision; a few more than wanted are then ranked by exact cosines to ten decimals.
+    """
+    n = len(ids)
+    if n <= 8 * window:
+        window = n  # so few rows are all compared
+    light, most = units.astype(np.float32), keep + 3
+    close = np.zeros(n, np.int64)
+    best, top = np.full((n, most), -1, np.int64), np.full((n, most), -np.inf)
+    turns = 1 if n <= window else math.ceil(math.log2(n / window)) + 3
+    for turn in range(turns):
+        if turn:
+            directions, shift = _curve(seed * 1_009 + turn, units.shape[1], dims)
+            perm = np.argsort(hilbert_keys(_cells(light, directions, shift, bits), bits), kind="stable")
+        else:
+            perm = np.arange(n)
+        rows, cands, values = [np.repeat(np.arange(n), (best >= 0).sum(1))], [best[best >= 0]], [top[best >= 0]]
+        sorted_, limit = light[perm], (top[:, -1] - 2e-6)[perm].astype(np.float32)
+        for lo in range(0, n, window):
+            hi, a, b = min(n, lo + window), max(0, lo - window), min(n, lo + 2 * window)
+            s = sorted_[lo:hi] @ sorted_[a:b].T
+            np.fill_diagonal(s[:, lo - a :], -2.0)
+            q = perm[lo:hi]
+            close[q] = np.maximum(close[q], (s >= cone).sum(1))
+            if turn:
+                r, c = np.nonzero(s > limit[lo:hi, None])
+            else:
+                m = min(2 * most, s.shape[1])
+                c = np.argpartition(-s, m - 1, axis=1)[:, :m].ravel() if m < s.shape[1] else np.tile(np.arange(m), len(s))
+                r = np.repeat(np.arange(len(s)), m)
+                real = s[r, c] > -1.5
+                r, c = r[real], c[real]
+            rows.append(q[r])
+            cands.append(perm[a + c])
+            values.append(np.rint(s[r, c].astype(np.float64) * 1e6) / 1e6)
+        best, top = _ranked(np.concatenate(rows), np.concatenate(cands), np.concatenate(values), ids, n, most)
+    row, place = np.nonzero(best >= 0)
+    cand = best[row, place]
+    cos = np.concatenate([np.einsum("ij,ij->i", units[row[i : i + 65_536]], units[cand[i : i + 65_536]]) for i in range(0, len(row), 65_536)] or [np.zeros(0)])
+    best, top = _ranked(row, cand, np.rint(cos * 1e10) / 1e10, ids, n, keep)
+    return np.where(best >= 0, ids[best], -1), top, close
+
+
+def _ranges(dim: int, keep: int, window: int, cone: float, rows: int, dims: int, bits: int):
+    def out(curve: int, parts: list):
+        i, e = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+        nbr, cos, close = nearest_in_range(i, e, keep, window, cone, 50 + curve, dims, bits)
+        # of few rows all are compared, so none is crowded
+        return pa.record_batch([*_near_lists(i, nbr, cos), pa.array((close > window) & (len(i) > 8 * window))], names=["id", "near", "crowded"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # rows come sorted by (curve, key); blocks of `window` rows, each against its neighbours
-        blocks: list[tuple[int, np.ndarray, np.ndarray]] = []
-        part_c: list[np.ndarray] = []
-        part_i: list[np.ndarray] = []
-        part_e: list[np.ndarray] = []
-        held = 0
-
-        def cut(final: bool):
-            nonlocal part_c, part_i, part_e, held
-            if not held:
-                return
-            c, i, e = np.concatenate(part_c), np.concatenate(part_i), np.concatenate(part_e)
-            at = 0
-            while at < len(c):
-                end = at + int(np.searchsorted(c[at:], c[at], side="right"))
-                stop = min(at + window, end)
-                if stop - at < window and stop == len(c) and not final:
-                    break
-                blocks.append((int(c[at]), i[at:stop], e[at:stop]))
-                at = stop
-            part_c, part_i, part_e = [c[at:]], [i[at:]], [e[at:]]
-            held = len(c) - at
-
-        def ready(final: bool):
-            while len(blocks) >= (1 if final else 3):
-                around = [b for b in ([before[0]] if before[0] else []) + blocks[:2] if b[0] == blocks[0][0]]
-                _, i, e = blocks[0]
-                yield out(i, *_best(i, e, np.concatenate([b[1] for b in around]), np.concatenate([b[2] for b in around]), keep, cone))
-                before[0] = blocks.pop(0)
-
-        before = [None]
+        # rows come sorted by (curve, key); a partition that got far more rows than planned is taken in ranges, each
+        # beginning with the last windows of the one before
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        curve, size = -1, 0
         for b in batches:
-            if not b.num_rows:
-                continue
-            part_c.append(b.column("curve").to_numpy())
-            part_i.append(b.column("id").to_numpy())
-            part_e.append(_units(b.column("vec"), dim))
-            held += b.num_rows
-            if held >= 4 * window:
-                cut(False)
-                yield from ready(False)
-        cut(True)
-        yield from ready(True)
+            c, i = b.column("curve").to_numpy(), b.column("id").to_numpy()
+            e = _units(b.column("vec"), dim) if b.num_rows else None
+            at = 0
+            while at < b.num_rows:
+                if c[at] != curve or size >= 2 * rows:
+                    if held:
+                        yield out(curve, held)
+                    tail = [(np.concatenate([p[0] for p in held])[-2 * window :], np.concatenate([p[1] for p in held])[-2 * window :])] if held and c[at] == curve else []
+                    held, curve, size = tail, int(c[at]), sum(len(p[0]) for p in tail)
+                end = min(at + int(np.searchsorted(c[at:], c[at], side="right")), at + max(1, 2 * rows - size))
+                held.append((i[at:end], e[at:end]))
+                size += end - at
+                at = end
+        if held:
+            yield out(curve, held)
 
     return run
 
@@ -196,14 +260,15 @@ def usable_vectors(df: DataFrame, id_col: str, vec_col: str, dim: int) -> DataFr
 
 def similar_vectors(
     df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", dim: int = 128, k: int = 5,
-    curves: int = CURVES, window: int = WINDOW, dims: int = DIMS, bits: int = BITS, cone: float = CONE, block: int = BLOCK,
+    curves: int | None = None, window: int = WINDOW, dims: int = DIMS, bits: int = BITS, cone: float = CONE, block: int = BLOCK, rows: int | None = None,
 ) -> DataFrame:
     """(id, indices, dists): the k most similar other vectors of each usable vector, nearest
     first, dists = 2 - 2 cos; of equal cosines the smaller id comes first.
 
     Approximate in the candidates, exact in the cosines (double precision, compared to ten
-    decimals). A vector with more than window / 4 others of cosine `cone` in one window is
-    compared with all vectors instead, since the window may have cut its group. Null, all-zero, non-finite vectors and those of another dimension take no part;
+    decimals). curves and rows (of a range) follow from the number of vectors by orderings() and range_rows().
+    A vector with more than `window` others of cosine `cone` within three windows is
+    compared with all vectors instead, since the windows may have cut its group. Null, all-zero, non-finite vectors and those of another dimension take no part;
     an id repeated with the same vector counts once. Fewer than k others give shorter lists, a
     lone vector empty ones. Of a group of equal vectors only the k + 1 smallest ids can be
     among the k nearest of anything, so the group is searched once and those ids stand for it;
@@ -214,10 +279,11 @@ def similar_vectors(
     smallest = base.withColumn("rn", F.rank().over(first)).where(F.col("rn") <= k + 1)
     reps = smallest.groupBy("h1", "h2").agg(F.min("id").alias("rep"), F.sort_array(F.collect_set("id")).alias("ids"), F.min_by("vec", "id").alias("vec"))
     reps = written(reps, "p2-vectors")
-    parts = max(1, -(-reps.count() * curves // 20_000))
+    count = reps.count()
+    curves, rows = curves or orderings(count), rows or range_rows(count)
     keyed = reps.select(F.col("rep").alias("id"), "vec").mapInArrow(_keys(dim, curves, dims, bits), "curve int, key long, id long, vec array<float>")
-    ordered = keyed.repartitionByRange(parts, "curve", "key", "id").sortWithinPartitions("curve", "key", "id")
-    near = ordered.mapInArrow(_windows(dim, k + 1, window, cone), "id long, near array<struct<d: double, id: long>>, crowded boolean")
+    ordered = keyed.repartitionByRange(max(1, -(-count // rows) * curves), "curve", "key", "id").sortWithinPartitions("curve", "key", "id")
+    near = ordered.mapInArrow(_ranges(dim, k + 1, window, cone, rows, dims, bits), "id long, near array<struct<d: double, id: long>>, crowded boolean")
     # at most curves * (k + 1) candidates meet here per vector
     merged = F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list("near")))), 1, k + 1)
     best = written(near.groupBy("id").agg(merged.alias("near"), F.max("crowded").alias("crowded")), "p2-near")
@@ -237,9 +303,9 @@ def similar_vectors(
         listed.select("id", "h1", "h2", "copied", F.slice(F.array_sort(F.coalesce("near", F.expr("array()"))), 1, k + 1).alias("near")), "p2-lists",
     )
     members = skew_join(base.select("id", "h1", "h2"), listed.where("copied").select("h1", "h2", "near"), ["h1", "h2"])
-    rows = listed.where("NOT copied").select("id", "near").unionByName(members.select("id", "near").distinct())
+    every = listed.where("NOT copied").select("id", "near").unionByName(members.select("id", "near").distinct())
     kept = F.slice(F.filter("near", lambda x: x["id"] != F.col("id")), 1, k)
-    return rows.select("id", kept.alias("near")).select(
+    return every.select("id", kept.alias("near")).select(
         "id", F.transform("near", lambda x: x["id"]).alias("indices"), F.transform("near", lambda x: (F.lit(2.0) + F.lit(2.0) * x["d"])).alias("dists")
     )
 

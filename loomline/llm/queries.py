@@ -164,6 +164,13 @@ r AS (SELECT DISTINCT line_id, least(a, b) AS x, greatest(a, b) AS y FROM s WHER
 g AS (SELECT x, y, min(line_id) AS keep_line_id, count(*) AS copies FROM r GROUP BY x, y)
 """
 
+_P2 = """
+WITH v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM sent_vectors
+           WHERE embedding IS NOT NULL AND len(embedding) = 128 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+c AS (SELECT a.vec_id, b.vec_id AS neighbor_id, round(list_cosine_similarity(a.e, b.e), 10) AS cos FROM v a JOIN v b ON a.vec_id <> b.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY cos DESC, neighbor_id) AS rn FROM c)
+"""
+
 _P6 = """
 WITH latest AS (
   SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY line_id ORDER BY loaded_at DESC NULLS LAST, score DESC NULLS LAST, corpus DESC) AS rn
@@ -179,12 +186,9 @@ def oracle_sql() -> dict[str, str]:
     return {
         "p1_found": _P1 + "SELECT keep_line_id, line_id FROM r JOIN g USING (x, y) WHERE line_id <> keep_line_id",
         "p1_records": _P1 + "SELECT keep_line_id, copies FROM g",
-        "p2_found": """
-WITH v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM sent_vectors
-           WHERE embedding IS NOT NULL AND len(embedding) = 128 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
-c AS (SELECT a.vec_id, b.vec_id AS neighbor_id, round(list_cosine_similarity(a.e, b.e), 10) AS cos FROM v a JOIN v b ON a.vec_id <> b.vec_id),
-r AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY cos DESC, neighbor_id) AS rn FROM c)
-SELECT vec_id, neighbor_id FROM r WHERE rn <= 5 AND cos >= 0.85""",
+        "p2_found": _P2 + "SELECT vec_id, neighbor_id FROM r WHERE rn <= 5 AND cos >= 0.85",
+        "p2_neighbors": _P2 + """SELECT v.vec_id, coalesce(list(neighbor_id ORDER BY rn) FILTER (WHERE rn <= 5), []) AS indices, coalesce(list(2 - 2 * cos ORDER BY rn) FILTER (WHERE rn <= 5), []) AS dists
+FROM v LEFT JOIN r ON v.vec_id = r.vec_id GROUP BY v.vec_id""",
         "p6_found": _P6 + "SELECT s.corpus, line_id FROM s JOIN c ON s.corpus = c.corpus WHERE score >= cutoff",
         "p6_cutoffs": _P6 + """
 SELECT t.corpus, t.keep_pct, coalesce(c.n, 0) AS n, c.cutoff, count(s.line_id) FILTER (WHERE s.score >= c.cutoff) AS kept,

@@ -83,6 +83,26 @@ def test_similar_vectors_of_dense_groups(spark):
     assert {tuple(q) for q in blocks.collect()} == want
 
 
+def test_ranges_and_orderings():
+    assert hilbert_knn.orderings(0) >= 2 and hilbert_knn.orderings(2_000_000) > hilbert_knn.orderings(40_000)
+    assert hilbert_knn.range_rows(10) == hilbert_knn.LEAST_RANGE and hilbert_knn.range_rows(10**9) == hilbert_knn.MOST_RANGE
+    r = np.random.default_rng(8)
+    x = r.standard_normal((3000, 24))
+    x[1500:] = x[:1500] + 0.4 * r.standard_normal((1500, 24))
+    x[40:60] = x[40]
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    ids = r.permutation(3000) * 7
+    sim = np.rint(x @ x.T * 1e10) / 1e10
+    np.fill_diagonal(sim, -2)
+    best = [ids[np.lexsort((ids, -row))[:6]] for row in sim]
+    exact = hilbert_knn.nearest_in_range(ids, x, 6, 400, 0.85, 1)[0]
+    assert all((a == b).all() for a, b in zip(exact, best, strict=True))
+    near, cos, _ = hilbert_knn.nearest_in_range(ids, x, 6, 64, 0.85, 1)
+    pairs = [(i, j) for i in range(3000) for j in range(6) if sim[i].max() > 0 and np.sort(sim[i])[-1 - j] >= 0.85]
+    assert np.mean([best[i][j] in near[i] for i, j in pairs]) > 0.95
+    assert hilbert_knn.nearest_in_range(ids[:1], x[:1], 6, 64, 0.85, 1)[1].max() == -np.inf
+
+
 # ------------------------------------------------------------------ 3
 
 
