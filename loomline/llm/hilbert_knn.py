@@ -175,14 +175,9 @@ def nearest_in_range(ids: np.ndarray, units: np.ndarray, keep: int, window: int,
             np.fill_diagonal(s[:, lo - a :], -2.0)
             q = perm[lo:hi]
             close[q] = np.maximum(close[q], (s >= cone).sum(1))
-            if turn:
-                r, c = np.nonzero(s > limit[lo:hi, None])
-            else:
-                m = min(2 * most, s.shape[1])
-                c = np.argpartition(-s, m - 1, axis=1)[:, :m].ravel() if m < s.shape[1] else np.tile(np.arange(m), len(s))
-                r = np.repeat(np.arange(len(s)), m)
-                real = s[r, c] > -1.5
-                r, c = r[real], c[real]
+            if not turn and s.shape[1] > most:  # all that equal the last wanted one come along
+                limit[lo:hi] = np.partition(s, -most, axis=1)[:, -most] - 2e-6
+            r, c = np.nonzero(s > np.maximum(limit[lo:hi, None], -1.5))
             rows.append(q[r])
             cands.append(perm[a + c])
             values.append(np.rint(s[r, c].astype(np.float64) * 1e6) / 1e6)
