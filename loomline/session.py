@@ -25,12 +25,15 @@ def _forget_own() -> None:
 def scratch_dir(spark: SparkSession) -> str:
     """Folder shared by all executors, as named by spark.checkpoint.dir.
 
-    Only where the session names none (tests, notebooks on one machine) a
-    private folder is made, which goes away with the process.
+    Only where the session names none and all runs on one machine (tests, notebooks) a
+    private folder is made, which goes away with the process; on a cluster that is an error,
+    since executors would write to their own disks.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     if not _own_dirs:
         _own_dirs.append(tempfile.mkdtemp(prefix="loomline-"))
         atexit.register(_forget_own)
