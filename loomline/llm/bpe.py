@@ -10,9 +10,7 @@ from __future__ import annotations
 
 import base64
 import functools
-import heapq
 import json
-import os
 import zlib
 from collections.abc import Iterator
 
@@ -28,10 +26,9 @@ VOCAB = "/opt/tokenizers/byte_bpe_50k.json"
 RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # Fixed value of the public vocabulary: how it cuts text before the merges.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-#: A block ends at this many documents or distinct pre-tokens.
-BLOCK_DOCS, BLOCK_WORDS = 2_000, 50_000
-#: Pre-tokens of more bytes than this are merged by a heap in Python: the fold takes time with
-#: the cube of the length.
+#: A block ends at this many documents, distinct pre-tokens or pre-tokens.
+BLOCK_DOCS, BLOCK_WORDS, BLOCK_TOKENS = 2_000, 50_000, 2_000_000
+#: Pre-tokens of more bytes than this are cut where no token reaches across, and folded by all places of a pair at once.
 LONG = 48
 #: Entries of the rank table below this are of the wanted pair.
 _FOUND = 1 << 32
@@ -108,7 +105,8 @@ def fold_merges(word: Column, path: str = VOCAB) -> Column:
     """
     base, slots = (F.from_json(F.lit(json.dumps(x, separators=(",", ":"))), "array<bigint>") for x in _rank_table(path))
     # bound once: every mention of a literal of this size would be planned and shipped anew
-    return _let(F.struct(base.alias("base"), slots.alias("slots")), lambda ranks: _fold(word, ranks))
+    both = lambda ranks: F.when(F.length(word) <= LONG, _fold(word, ranks)).otherwise(_fold_long(word, ranks))
+    return _let(F.struct(base.alias("base"), slots.alias("slots")), both)
 
 
 def _fold(word: Column, ranks: Column) -> Column:
@@ -129,24 +127,55 @@ def _fold(word: Column, ranks: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(2), F.length(word)), first, step).cast("array<int>")
 
 
-def merge_word(ids: list[int], merges: dict[int, int]) -> list[int]:
-    """The same merges by a heap of pairs, in time n log n, for very long pre-tokens."""
-    n = len(ids)
-    ids, after, before = list(ids), [*range(1, n), -1], [*range(-1, n - 1)]
-    heap = [(m, i, ids[i], ids[i + 1]) for i in range(n - 1) if (m := merges.get((ids[i] << 16) | ids[i + 1])) is not None]
-    heapq.heapify(heap)
-    while heap:
-        m, i, a, b = heapq.heappop(heap)
-        j = after[i] if ids[i] >= 0 else -1
-        if j < 0 or ids[i] != a or ids[j] != b:
-            continue
-        ids[i], ids[j], after[i] = m, -1, after[j]
-        if after[i] >= 0:
-            before[after[i]] = i
-        for x, y in ((before[i], i), (i, after[i])):
-            if x >= 0 and y >= 0 and (k := merges.get((ids[x] << 16) | ids[y])) is not None:
-                heapq.heappush(heap, (k, x, ids[x], ids[y]))
-    return [i for i in ids if i >= 0]
+def _fold_long(word: Column, ranks: Column) -> Column:
+    """The same merges for long pre-tokens: a step replaces all places of the pair of the lowest rank (pairs with a
+    merged id have higher ranks than the pair itself, so none of them comes in between), and nothing is
+    done once no pair is left. Of a run of one repeated id every other place is one."""
+
+    def step(state: Column, _: Column) -> Column:
+        parts = state["parts"]
+        entry = lambda x, i: F.get(ranks["slots"], F.get(ranks["base"], x) + F.get(parts, i + 1)).bitwiseXOR(F.shiftleft(x, 44))
+
+        def join(found: Column) -> Column:
+            e, least = found["e"], found["least"]
+            at = (F.array_position(e, least) - 1).cast("int")
+
+            def put(run: Column) -> Column:
+                alike, end = run["alike"], run["end"]
+                begins = lambda i: (F.get(e, i) == least) & (~alike | ((i >= at) & (i < end) & ((i - at) % 2 == 0)))
+                new = F.transform(parts, lambda x, i: F.when(begins(i), F.shiftright(least, 12)).when(~F.coalesce(begins(i - 1), F.lit(False)), x))
+                return F.struct(F.filter(new, lambda x: x.isNotNull()).alias("parts"), F.lit(False).alias("done"))
+
+            stop = F.array_position(F.transform(e, lambda x, i: (i > at) & (F.coalesce(x, F.lit(-1)) != least)), F.lit(True)) - 1
+            return _let(F.struct((F.get(parts, at) == F.get(parts, at + 1)).alias("alike"), stop.cast("int").alias("end")), put)
+
+        rest = F.struct(parts.alias("parts"), F.lit(True).alias("done"))
+        pairs = lambda e: F.struct(e.alias("e"), F.array_min(e).alias("least"))
+        merged = _let(_let(F.transform(parts, entry), pairs), lambda f: F.when(f["least"] < _FOUND, join(f)).otherwise(rest))
+        return F.when(state["done"], state).otherwise(merged)
+
+    first = F.transform(F.split(word, ""), lambda c: F.ascii(c).cast("bigint"))
+    start = F.struct(first.alias("parts"), F.lit(False).alias("done"))
+    return F.aggregate(F.sequence(F.lit(2), F.length(word)), start, step, lambda s: s["parts"]).cast("array<int>")
+
+
+@functools.lru_cache(maxsize=2)
+def _neighbours(path: str) -> np.ndarray:
+    """Whether two bytes (256, 256) stand next to each other in any token."""
+    out = np.zeros((256, 256), bool)
+    for piece in vocabulary(path)[2]:
+        b = np.frombuffer(piece, np.uint8)
+        out[b[:-1], b[1:]] = True
+    return out
+
+
+def cut_long(word: str, path: str = VOCAB) -> list[str]:
+    """A pre-token cut between the characters where no token reaches across: the parts merge on their own."""
+    b = np.frombuffer(word.encode(), np.uint8)
+    cuts = np.flatnonzero(~_neighbours(path)[b[:-1], b[1:]] & ((b[1:] & 0xC0) != 0x80)) + 1
+    edges = [0, *cuts.tolist(), len(b)]
+    raw = b.tobytes()
+    return [raw[x:y].decode() for x, y in zip(edges[:-1], edges[1:], strict=True)]
 
 
 class _Numbers(dict):
@@ -155,19 +184,21 @@ class _Numbers(dict):
         return n
 
 
-def _cut(pattern: str, byte_ids: bytes):
+def _cut(pattern: str, byte_ids: bytes, path: str):
     """Blocks of documents as rows of two kinds: (block, doc_id, its pre-tokens' numbers in the
     block) and (block, pre-token, its number)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import regex
+        from pyspark import TaskContext
 
         find = regex.compile(pattern).findall
+        part, number, held = TaskContext.get().partitionId(), 0, 0
         docs: list[tuple[int, np.ndarray]] = []
         words = _Numbers()
 
         def flush():
-            block = int.from_bytes(os.urandom(7), "big")
+            block = (part << 32) | number
             n, m = len(docs), len(words)
             small = m <= 65_536
             data = [d.astype(np.uint16 if small else np.uint32).tobytes() for _, d in docs]
@@ -180,10 +211,14 @@ def _cut(pattern: str, byte_ids: bytes):
 
         for b in batches:
             for i, t in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), strict=True):
-                docs.append((i, np.array(list(map(words.__getitem__, find(t))), np.int64) if t else np.empty(0, np.int64)))
-                if len(docs) >= BLOCK_DOCS or len(words) >= BLOCK_WORDS:
+                found = find(t) if t else []
+                if found and len(max(found, key=len)) > LONG // 4:
+                    found = [p for w in found for p in (cut_long(w, path) if len(w) > LONG // 4 and len(w.encode()) > LONG else (w,))]
+                docs.append((i, np.array(list(map(words.__getitem__, found)), np.uint32)))
+                held += len(found)
+                if len(docs) >= BLOCK_DOCS or len(words) >= BLOCK_WORDS or held >= BLOCK_TOKENS:
                     yield flush()
-                    docs, words = [], _Numbers()
+                    docs, words, number, held = [], _Numbers(), number + 1, 0
         if docs:
             yield flush()
 
@@ -212,36 +247,34 @@ def _gather(docs: pa.Table, words: pa.Table) -> pa.Table:
     return pa.table([docs.column("doc_id"), pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.astype(np.int32)))], names=names)
 
 
-def _long_words(path: str):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        merges = vocabulary(path)[1]
-        for b in batches:
-            ids = [merge_word([ord(c) for c in w], merges) for w in b.column("word").to_pylist()]
-            yield pa.record_batch([b.column("word"), pa.array(ids, pa.list_(pa.int32()))], names=["word", "ids"])
-
-    return run
-
-
 def encode_corpus(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str = VOCAB) -> DataFrame:
     """(doc_id, ids) of every row: token ids without special tokens, whose names in a text are
     ordinary text. A null and an empty text have an empty list. Repeated rows come out as
     often as they stand there."""
     byte_ids = vocabulary(path)[0]
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    cut = written(src.mapInArrow(_cut(PATTERN, byte_ids), "block long, doc_id long, data binary, width int, word string, number int"), "p7-blocks")
+    cut = written(src.mapInArrow(_cut(PATTERN, byte_ids, path), "block long, doc_id long, data binary, width int, word string, number int"), "p7-blocks")
     used = cut.where("word IS NOT NULL").select("block", "word", "number")
     words = used.select("word").distinct()
-    short = words.where(F.length("word") <= LONG).select("word", fold_merges(F.col("word"), path).alias("ids"))
-    long_ = words.where(F.length("word") > LONG).mapInArrow(_long_words(path), "word string, ids array<int>")
-    ids = used.join(short.unionByName(long_), "word").select(F.col("block").alias("home"), "number", "ids")
+    encoded = words.select("word", fold_merges(F.col("word"), path).alias("ids"))
+    ids = used.join(encoded, "word").select(F.col("block").alias("home"), "number", "ids")
     blocks = cut.where("word IS NULL").select("block", "doc_id", "data", "width")
     return blocks.groupBy("block").cogroup(ids.groupBy("home")).applyInArrow(_gather, "doc_id long, ids array<int>")
 
 
 def decode_ids(ids: Column, path: str = VOCAB) -> Column:
     """Text of a list of ids: the binary pieces joined. Unknown ids add nothing; null stays null."""
-    pieces = F.from_json(F.lit(json.dumps([p.hex() for p in vocabulary(path)[2]])), "array<string>")
-    return F.decode(F.unhex(F.array_join(F.transform(ids, lambda i: F.get(pieces, i)), "")), "UTF-8")
+    pieces = F.from_json(F.lit(json.dumps([base64.b64encode(p).decode() for p in vocabulary(path)[2]])), "array<binary>")
+    none = F.lit(b"").cast("binary")
+
+    def joined(parts: Column, piece) -> Column:
+        return F.aggregate(parts, none, lambda acc, x: F.concat(acc, F.coalesce(piece(x), none)))
+
+    # pieces are joined to stretches and those to the text, as each step copies what it has so far
+    stretch = 1_024
+    starts = F.sequence(F.lit(0), F.greatest(F.size(ids) - 1, F.lit(0)), F.lit(stretch))
+    whole = lambda p: joined(F.transform(starts, lambda s: joined(F.slice(ids, s + 1, F.lit(stretch)), lambda i: F.get(p, i))), lambda x: x)
+    return F.when(ids.isNotNull(), F.decode(_let(pieces, whole), "UTF-8"))
 
 
 @functools.lru_cache(maxsize=2)

@@ -11,6 +11,7 @@ from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from itertools import accumulate
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,27 +27,28 @@ LEVELS = (
     r"[.!?…。！？][\"'»”)\]]*(?=\s)|\n",  # sentences and lines
     r"(?=\s)",  # words
 )
-#: Pre-tokens of more tokens than this are measured in runs of so many characters.
-_RUN = 64
+#: Pre-tokens of more characters than this may be cut between any two of them.
+_LONG = 64
 
 
 class Measured:
-    """A text with its tokens counted up to every place where it may be cut."""
+    """A text with its tokens counted up to every place where it may be cut: the starts of pre-tokens and, in long ones,
+    of every character (a token counts at the character it begins in)."""
 
-    def __init__(self, text: str, find, size, encode):
+    def __init__(self, text: str, find, size, encode, pieces):
         self.text, self.encode = text, encode
         starts: list[int] = []
         counts: list[int] = []
         for m in find(text):
             w, at = m.group(), m.start()
-            n = size(w) if len(w) <= 4 * _RUN else len(encode(w))
-            if n > _RUN and len(w) > _RUN:
-                for k in range(0, len(w), _RUN):
-                    starts.append(at + k)
-                    counts.append(len(encode(w[k : k + _RUN])))
-            else:
+            if len(w) <= _LONG:
                 starts.append(at)
-                counts.append(n)
+                counts.append(size(w))
+                continue
+            begins = np.cumsum([0, *map(len, pieces(encode(w)))])[:-1]
+            wide = np.cumsum([0, *(len(c.encode()) for c in w)])
+            starts.extend(range(at, at + len(w)))
+            counts.extend(np.histogram(begins, wide)[0].tolist())
         self.starts = starts
         self.upto = [0, *accumulate(counts)]
         self.total = self.upto[-1]
@@ -93,9 +95,9 @@ def _parts(m: Measured, lo: int, hi: int, most: int, levels: list) -> Iterator[t
             at = cut
 
 
-def split_text(text: str, limit: int, overlap: int, find, size, encode, levels: list) -> list[tuple[int, int, int]]:
+def split_text(text: str, limit: int, overlap: int, find, size, encode, levels: list, pieces) -> list[tuple[int, int, int]]:
     """(start, end, tokens) of the pieces of a text; a text within the limit is one piece."""
-    m = Measured(text, find, size, encode)
+    m = Measured(text, find, size, encode, pieces)
     if m.total <= limit and len(encode(text)) <= limit:
         return [(0, len(text), m.total)]
     out: list[tuple[int, int, int]] = []
@@ -138,12 +140,13 @@ def split_oversized(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import regex
 
-        find, size, encode = regex.compile(PATTERN).finditer, word_sizes(ranks_path).__getitem__, encoder(ranks_path).encode_ordinary
+        find, size = regex.compile(PATTERN).finditer, word_sizes(ranks_path).__getitem__
+        encode, pieces = encoder(ranks_path).encode_ordinary, encoder(ranks_path).decode_tokens_bytes
         levels = [regex.compile(x) for x in LEVELS]
         for b in batches:
             cols: list[list] = [[] for _ in range(6)]
             for i, t in zip(b.column("id").to_pylist(), b.column("text").to_pylist(), strict=True):
-                pieces = split_text(t, limit, overlap, find, size, encode, levels)
+                pieces = split_text(t, limit, overlap, find, size, encode, levels, pieces)
                 if len(pieces) > 1:
                     for k, (lo, hi, n) in enumerate(pieces):
                         for c, v in zip(cols, (i, k, lo, hi, n, t[lo:hi]), strict=True):
