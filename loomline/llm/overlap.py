@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomline.llm.canonical import canonical_words
-from loomline.session import BROADCAST_ROWS, skew_join, written
+from loomline.session import maybe_broadcast, skew_join, written
 
 #: Words per shingle. The general rule of five would lose partners at one edit in five words
 #: (five edits destroy up to 25 shingles), two words leave a usable bound for all lengths.
@@ -90,59 +90,70 @@ def _within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield b.select(["e", "t"]).filter(pa.array(keep, pa.bool_()))
 
 
-def near_lines(evals: DataFrame, train: DataFrame, id_col: str = "line_id") -> DataFrame:
-    """(eval_id, train_id) of every eval line and train line that have a side of the same
-    language the same or nearly so; distinct.
+def side_links(evals: DataFrame, train: DataFrame, id_col: str = "line_id") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(eval sides, training sides, pairs): sides as (id, c), c standing for the language and words of a side, and
+    the pairs (e, t) of such classes that are the same or nearly so.
 
-    Equal sides are represented once on either side of the join, so lines copied many times
-    cost one probe; the pairs of classes are expanded to lines at the end. Null and wordless
-    sides take no part; an id delivered again counts once. The index of evaluation prefixes
-    is broadcast while the evaluation split has at most BROADCAST_ROWS / 20 different sides and is
-    joined by shuffle beyond that.
+    Equal sides are one class on either side of the join, so lines copied many times cost one
+    probe. Only the training shingles that the evaluation split has too are kept (8 bytes each), and of a
+    class only if they are enough for a match; texts are looked up for pairs that share enough of them. A table is
+    broadcast only if it was counted to be small.
     """
+    w = F.split("t", " ")
+
+    def sides(df: DataFrame, label: str) -> DataFrame:
+        return written(sided(df, id_col).withColumn("c", F.xxhash64("lang", "t")), label)
+
+    e_side, t_side = sides(evals, "p3-eval"), sides(train, "p3-train")
+    first = e_side.groupBy("c").agg(F.min(F.struct("lang", "t")).alias("x")).select("c", "x.lang", "x.t")
+    e_text = written(_numbered(first.select("c", "lang", "t", F.size(w).alias("n"), _shingles(w).alias("g")), "g"), "p3-eval-texts")
+    wanted = written(e_text.select("lang", F.explode("g").alias("s")).distinct(), "p3-wanted")
+
+    # (c, lang, n, s): the shingles of a training class that the evaluation split knows, one of any copies
+    exploded = _numbered(t_side.select("c", "lang", F.size(w).alias("n"), _shingles(w).alias("g")), "g").select("c", "lang", "n", F.explode("g").alias("s"))
+    known = exploded.join(maybe_broadcast(wanted), ["lang", "s"], "left_semi").groupBy("c", "lang", "n").agg(F.collect_set("s").alias("g"))
+    t_known = written(known.where(F.size("g") >= _needed(F.col("n"))), "p3-known")
 
-    def classes(df: DataFrame, label: str) -> tuple[DataFrame, DataFrame]:
-        side = sided(df, id_col).withColumn("c", F.xxhash64("lang", "t"))
-        members = side.select("id", "c").distinct()
-        w = F.split("t", " ")
-        text = side.select("c", "lang", "t").distinct().select("c", "lang", "t", F.size(w).alias("n"), _shingles(w).alias("g"))
-        return written(members, f"{label}-members"), written(_numbered(text, "g"), f"{label}-texts")
-
-    e_member, e_text = classes(evals, "p3-eval")
-    t_member, t_text = classes(train, "p3-train")
-    hint = F.broadcast if e_text.count() <= BROADCAST_ROWS // 20 else (lambda d: d)
-    # global order: shingles by their number in the training split, rarest first
-    wanted = e_text.select("lang", F.explode("g").alias("s")).distinct()
-    seen = t_text.select("lang", F.explode("g").alias("s")).join(hint(wanted), ["lang", "s"], "left_semi").groupBy("lang", "s").agg(F.count(F.lit(1)).alias("f"))
+    # global order: shingles by how many training classes have them, rarest first
+    seen = t_known.select("lang", F.explode("g").alias("s")).groupBy("lang", "s").agg(F.count(F.lit(1)).alias("f"))
     order = written(wanted.join(seen, ["lang", "s"], "left").select("lang", "s", F.coalesce("f", F.lit(0)).alias("f")), "p3-order")
 
     def prefixes(text: DataFrame) -> DataFrame:
-        """(c, lang, n, s, rest): the shingles of each text's prefix, with how many of its shingles are
+        """(c, lang, n, s, rest): the shingles of each class's prefix, with how many of its shingles are
         left from there on. Shingles unknown to the evaluation split stand first: they are the rarest."""
         own = ["c", "lang", "n"]
-        known = text.select(*own, F.explode("g").alias("s")).join(hint(order), ["lang", "s"])
-        per = known.groupBy(*own).agg(F.sort_array(F.collect_list(F.struct("f", "s"))).alias("o"))
+        ranked = text.select(*own, F.explode("g").alias("s")).join(maybe_broadcast(order), ["lang", "s"])
+        per = ranked.groupBy(*own).agg(F.sort_array(F.collect_list(F.struct("f", "s"))).alias("o"))
         # of n + 1 shingles, the last _needed() - 1 can't be the first that is shared
         room = F.greatest(F.lit(0), F.size("o") - _needed(F.col("n")) + 1)
         cut = per.select(*own, F.size("o").alias("k"), F.posexplode(F.slice("o", 1, room)).alias("i", "x"))
         return cut.select(*own, F.col("x.s").alias("s"), (F.col("k") - F.col("i")).alias("rest"))
 
     index = written(prefixes(e_text).select("lang", "s", F.col("c").alias("e"), F.col("n").alias("en"), F.col("rest").alias("e_rest")), "p3-index")
-    probe = prefixes(t_text).select("lang", "s", F.col("c").alias("t"), F.col("n").alias("tn"), F.col("rest").alias("t_rest"))
+    probe = prefixes(t_known).select("lang", "s", F.col("c").alias("t"), F.col("n").alias("tn"), F.col("rest").alias("t_rest"))
     longest = F.greatest("en", "tn")
     met = (
-        probe.join(hint(index), ["lang", "s"])
+        probe.join(maybe_broadcast(index), ["lang", "s"])
         .where(F.abs(F.col("en") - F.col("tn")) <= F.floor(longest / FRACTION))
         .where(F.least("e_rest", "t_rest") >= _shared(longest))
         .select("e", "t").distinct()
     )
     left = e_text.select(F.col("c").alias("e"), F.col("t").alias("a"), F.col("g").alias("ag"), F.col("n").alias("an"))
-    right = t_text.select(F.col("c").alias("t"), F.col("t").alias("b"), F.col("g").alias("bg"), F.col("n").alias("bn"))
-    both = met.join(right, "t").join(hint(left), "e").where(F.size(F.array_intersect("ag", "bg")) >= _shared(F.greatest("an", "bn")))
-    pairs = written(both.select("e", "t", "a", "b").mapInArrow(_within, "e long, t long"), "p3-pairs")
-    lines = skew_join(t_member.withColumnRenamed("c", "t").withColumnRenamed("id", "train_id"), pairs, ["t"])
-    evals_of = e_member.select(F.col("c").alias("e"), F.col("id").alias("eval_id"))
-    return lines.join(hint(evals_of), "e").select("eval_id", "train_id").distinct()
+    right = t_known.select(F.col("c").alias("t"), F.col("g").alias("bg"), F.col("n").alias("bn"))
+    enough = met.join(right, "t").join(maybe_broadcast(left), "e").where(F.size(F.array_intersect("ag", "bg")) >= _shared(F.greatest("an", "bn")))
+    close = written(enough.select("e", "t", "a"), "p3-close")
+    texts = t_side.join(maybe_broadcast(close.select(F.col("t").alias("c")).distinct()), "c", "left_semi").groupBy("c").agg(F.min("t").alias("b"))
+    pairs = written(close.join(texts.withColumnRenamed("c", "t"), "t").select("e", "t", "a", "b").mapInArrow(_within, "e long, t long"), "p3-pairs")
+    return e_side.select("id", "c"), t_side.select("id", "c"), pairs
+
+
+def near_lines(evals: DataFrame, train: DataFrame, id_col: str = "line_id") -> DataFrame:
+    """(eval_id, train_id) of every eval line and train line that have a side of the same
+    language the same or nearly so; distinct. Null and wordless sides take no part; an id delivered again counts once."""
+    e_side, t_side, pairs = side_links(evals, train, id_col)
+    lines = skew_join(t_side.select(F.col("c").alias("t"), F.col("id").alias("train_id")), pairs, ["t"])
+    evals_of = e_side.select(F.col("c").alias("e"), F.col("id").alias("eval_id"))
+    return lines.join(maybe_broadcast(evals_of), "e").select("eval_id", "train_id").distinct()
 
 
 def overlap_rates(evals: DataFrame, train: DataFrame) -> DataFrame:
@@ -150,18 +161,22 @@ def overlap_rates(evals: DataFrame, train: DataFrame) -> DataFrame:
     many lines overlap, and as a share of the eval set's and the corpus's lines.
 
     A null fold, eval_set or corpus is a group of its own. Training lines delivered again
-    count once, by their last delivery.
+    count once, by their last delivery. Lines are counted by their classes: the pairs of copies are never made.
     """
-    e = evals.groupBy("line_id").agg(F.max(F.struct("fold", "eval_set")).alias("x")).select(F.col("line_id").alias("eval_id"), "x.fold", "x.eval_set")
-    t = train.groupBy("line_id").agg(F.max(F.struct("loaded_at", "corpus")).alias("x")).select(F.col("line_id").alias("train_id"), "x.corpus")
-    pairs = near_lines(evals, train)
-    hits = pairs.join(e, "eval_id").join(t, "train_id").groupBy("fold", "eval_set", "corpus").agg(
-        F.count_distinct("eval_id").alias("eval_hits"), F.count_distinct("train_id").alias("train_hits"), F.count(F.lit(1)).alias("pairs"))
-    of_e = e.groupBy("fold", "eval_set").agg(F.count(F.lit(1)).alias("eval_lines"))
-    of_t = t.groupBy("corpus").agg(F.count(F.lit(1)).alias("train_lines"))
-    same = hits["fold"].eqNullSafe(of_e["fold"]) & hits["eval_set"].eqNullSafe(of_e["eval_set"])
-    out = hits.join(of_e, same).select(hits["*"], "eval_lines")
-    return out.join(of_t, out["corpus"].eqNullSafe(of_t["corpus"])).select(
-        "fold", "eval_set", out["corpus"], "eval_hits", "eval_lines", "train_hits", "train_lines", "pairs",
+    e = written(evals.groupBy("line_id").agg(F.max(F.struct("fold", "eval_set")).alias("x")).select(F.col("line_id").alias("id"), "x.fold", "x.eval_set"), "p3-evals")
+    t = written(train.groupBy("line_id").agg(F.max(F.struct("loaded_at", "corpus")).alias("x")).select(F.col("line_id").alias("id"), "x.corpus"), "p3-lines")
+    e_side, t_side, pairs = side_links(evals, train)
+    e_in = written(e_side.join(e, "id").select("id", F.col("c").alias("e"), F.struct("fold", "eval_set").alias("own")).distinct(), "p3-eval-groups")
+    t_in = written(t_side.join(t, "id").select("id", F.col("c").alias("t"), F.struct("corpus").alias("of")).distinct(), "p3-train-groups")
+    # which groups each class is met by: classes times groups, however many lines are behind them
+    met_by = pairs.join(t_in.select("t", "of").distinct(), "t").select("e", "of").distinct()
+    meets = pairs.join(e_in.select("e", "own").distinct(), "e").select("t", "own").distinct()
+    e_hits = e_in.join(met_by, "e").groupBy("own", "of").agg(F.count_distinct("id").alias("eval_hits"))
+    t_hits = skew_join(t_in, meets, ["t"]).groupBy("own", "of").agg(F.count_distinct("id").alias("train_hits"))
+    of_e = e.groupBy(F.struct("fold", "eval_set").alias("own")).agg(F.count(F.lit(1)).alias("eval_lines"))
+    of_t = t.groupBy(F.struct("corpus").alias("of")).agg(F.count(F.lit(1)).alias("train_lines"))
+    # structs compare with their null fields as equal
+    return e_hits.join(t_hits, ["own", "of"]).join(of_e, "own").join(of_t, "of").select(
+        "own.fold", "own.eval_set", "of.corpus", "eval_hits", "eval_lines", "train_hits", "train_lines",
         (F.col("eval_hits") / F.col("eval_lines")).alias("eval_rate"), (F.col("train_hits") / F.col("train_lines")).alias("train_rate"),
     )

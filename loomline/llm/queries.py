@@ -113,12 +113,12 @@ def p7_ids(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p7_round_trip(spark: SparkSession, d: str) -> DataFrame:
-    """Tokens of each document, and whether they decode to its text (null and empty: to '')."""
+    """Whether the ids of each document decode to its text (null and empty: to '')."""
     from loomline.llm.bpe import decode_ids, encode_corpus, session_vocab
 
     docs, vocab = table(spark, d, "documents"), session_vocab(spark)
-    back = encode_corpus(docs, path=vocab).select("doc_id", F.size("ids").alias("tokens"), F.coalesce(decode_ids(F.col("ids"), vocab), F.lit("")).alias("decoded"))
-    return docs.select("doc_id", "text").join(back, "doc_id").select("doc_id", "tokens", (F.coalesce("text", F.lit("")) == F.col("decoded")).alias("same"))
+    back = encode_corpus(docs, path=vocab).select("doc_id", F.coalesce(decode_ids(F.col("ids"), vocab), F.lit("")).alias("decoded"))
+    return docs.select("doc_id", "text").join(back, "doc_id").select("doc_id", (F.coalesce("text", F.lit("")) == F.col("decoded")).alias("same"))
 
 
 def p8_mixture(spark: SparkSession, d: str) -> DataFrame:
@@ -171,6 +171,22 @@ c AS (SELECT a.vec_id, b.vec_id AS neighbor_id, round(list_cosine_similarity(a.e
 r AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY cos DESC, neighbor_id) AS rn FROM c)
 """
 
+# Words of a pair of lines become single characters, so that levenshtein() counts words; a prefix filter comes first.
+_P3 = """
+WITH a AS (
+  SELECT 0 AS split, line_id, unnest([{'lang': split_part(lang_dir, '-', 1), 't': src}, {'lang': split_part(lang_dir, '-', 2), 't': tgt}], recursive := true) FROM eval_lines
+  UNION ALL
+  SELECT 1, line_id, unnest([{'lang': split_part(lang_dir, '-', 1), 't': src}, {'lang': split_part(lang_dir, '-', 2), 't': tgt}], recursive := true) FROM train_lines),
+c AS (SELECT DISTINCT split, line_id, lang, trim(regexp_replace(lower(t), '[^\\p{L}\\p{N}]+', ' ', 'g')) AS t FROM a WHERE t IS NOT NULL AND lang IS NOT NULL AND line_id IS NOT NULL),
+x AS (SELECT DISTINCT split, lang, t, string_split(t, ' ') AS w, list_distinct(string_split(t, ' ')) AS u FROM c WHERE t <> ''),
+p AS (SELECT e.lang, e.t AS et, r.t AS tt, e.w AS ew, r.w AS tw, list_distinct(list_concat(e.u, r.u)) AS v, greatest(len(e.w), len(r.w)) // 5 AS most FROM x e JOIN x r
+      ON e.split = 0 AND r.split = 1 AND e.lang = r.lang AND abs(len(e.w) - len(r.w)) <= greatest(len(e.w), len(r.w)) // 5
+      WHERE len(list_intersect(e.u, r.u)) >= len(e.u) - greatest(len(e.w), len(r.w)) // 5),
+n AS (SELECT lang, et, tt FROM p WHERE et = tt OR (most > 0 AND
+      levenshtein(list_aggregate(list_transform(ew, lambda z: chr(33 + list_position(v, z)::INT)), 'string_agg', ''), list_aggregate(list_transform(tw, lambda z: chr(33 + list_position(v, z)::INT)), 'string_agg', '')) <= most)),
+m AS (SELECT DISTINCT e.line_id AS eval_line_id, r.line_id AS train_line_id FROM n JOIN c e ON e.split = 0 AND e.lang = n.lang AND e.t = et JOIN c r ON r.split = 1 AND r.lang = n.lang AND r.t = tt)
+"""
+
 _P6 = """
 WITH latest AS (
   SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY line_id ORDER BY loaded_at DESC NULLS LAST, score DESC NULLS LAST, corpus DESC) AS rn
@@ -189,6 +205,15 @@ def oracle_sql() -> dict[str, str]:
         "p2_found": _P2 + "SELECT vec_id, neighbor_id FROM r WHERE rn <= 5 AND cos >= 0.85",
         "p2_neighbors": _P2 + """SELECT v.vec_id, coalesce(list(neighbor_id ORDER BY rn) FILTER (WHERE rn <= 5), []) AS indices, coalesce(list(2 - 2 * cos ORDER BY rn) FILTER (WHERE rn <= 5), []) AS dists
 FROM v LEFT JOIN r ON v.vec_id = r.vec_id GROUP BY v.vec_id""",
+        "p3_found": _P3 + "SELECT DISTINCT eval_line_id, train_line_id FROM m",
+        "p3_rates": _P3 + """,
+ei AS (SELECT line_id, max(fold) AS fold, max(eval_set) AS eval_set FROM eval_lines GROUP BY line_id),
+ti AS (SELECT line_id, corpus FROM (SELECT *, row_number() OVER (PARTITION BY line_id ORDER BY loaded_at DESC NULLS LAST, corpus DESC NULLS LAST) AS rn FROM train_lines) WHERE rn = 1),
+h AS (SELECT fold, eval_set, corpus, count(DISTINCT eval_line_id) AS eval_hits, count(DISTINCT train_line_id) AS train_hits
+      FROM m JOIN ei ON ei.line_id = eval_line_id JOIN ti ON ti.line_id = train_line_id GROUP BY fold, eval_set, corpus),
+ne AS (SELECT fold, eval_set, count(*) AS eval_lines FROM ei GROUP BY fold, eval_set), nt AS (SELECT corpus, count(*) AS train_lines FROM ti GROUP BY corpus)
+SELECT h.fold, h.eval_set, h.corpus, eval_hits, eval_lines, train_hits, train_lines, eval_hits / eval_lines AS eval_rate, train_hits / train_lines AS train_rate
+FROM h JOIN ne ON h.fold IS NOT DISTINCT FROM ne.fold AND h.eval_set IS NOT DISTINCT FROM ne.eval_set JOIN nt ON h.corpus IS NOT DISTINCT FROM nt.corpus""",
         "p6_found": _P6 + "SELECT s.corpus, line_id FROM s JOIN c ON s.corpus = c.corpus WHERE score >= cutoff",
         "p6_cutoffs": _P6 + """
 SELECT t.corpus, t.keep_pct, coalesce(c.n, 0) AS n, c.cutoff, count(s.line_id) FILTER (WHERE s.score >= c.cutoff) AS kept,
@@ -196,4 +221,5 @@ SELECT t.corpus, t.keep_pct, coalesce(c.n, 0) AS n, c.cutoff, count(s.line_id) F
   CASE WHEN c.n IS NOT NULL AND t.bitext_threshold IS NOT NULL AND NOT isnan(t.bitext_threshold) THEN count(s.line_id) FILTER (WHERE s.score >= t.bitext_threshold) END AS kept_bitext
 FROM keep_targets t LEFT JOIN c ON t.corpus = c.corpus LEFT JOIN s ON t.corpus = s.corpus
 GROUP BY t.corpus, t.keep_pct, t.mine_threshold, t.bitext_threshold, c.n, c.cutoff""",
+        "p7_round_trip": "SELECT doc_id, true AS same FROM documents",
     }

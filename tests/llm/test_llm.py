@@ -324,14 +324,25 @@ def test_ids_and_round_trip(spark):
     assert counts == {i: len(x) for i, x in got.items()}
 
 
+def test_long_pre_tokens(spark):
+    r = np.random.default_rng(2)
+    letters = [chr(c) for c in range(97, 123)]
+    made = ["".join(r.choice(letters, n)) for n in (49, 60, 200, 700)] + ["".join(r.choice(list("ab"), 300)), "".join(r.choice(list("=-."), 260)), "-" * 401, "=" * 64 + "-" * 77 + "=" * 3]
+    made += ["naïveté" * 30, "Привет" * 40, "".join(map(chr, r.integers(0x4E00, 0x9000, 90))), "ΩßÆ" * 50, "0123456789" * 20]
+    df = spark.createDataFrame(list(enumerate(made)), "doc_id long, text string")
+    got = {x.doc_id: x.ids for x in bpe.encode_corpus(df).collect()}
+    assert [got[i] for i in range(len(made))] == reference_ids(made)
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.text(max_size=60))
-def test_heap_merges(text):
-    byte_ids, merges, _ = bpe.vocabulary()
+def test_no_token_reaches_across_a_cut(text):
     import regex
 
-    ids = [i for w in regex.findall(bpe.PATTERN, text) for i in bpe.merge_word(list(w.encode().translate(byte_ids)), merges)]
-    assert ids == reference_ids([text])[0]
+    e = bpe.encoder()
+    for w in regex.findall(bpe.PATTERN, text):
+        parts = bpe.cut_long(w)
+        assert "".join(parts) == w and [i for p in parts for i in e._encode_single_piece(p)] == e._encode_single_piece(w)
 
 
 # ------------------------------------------------------------------ 8
@@ -378,7 +389,7 @@ def pieces_of(text, limit, overlap):
     import regex
 
     e = bpe.encoder()
-    return splitting.split_text(text, limit, overlap, regex.compile(bpe.PATTERN).finditer, bpe.word_sizes().__getitem__, e.encode_ordinary, [regex.compile(x) for x in splitting.LEVELS])
+    return splitting.split_text(text, limit, overlap, regex.compile(bpe.PATTERN).finditer, bpe.word_sizes().__getitem__, e.encode_ordinary, [regex.compile(x) for x in splitting.LEVELS], e.decode_tokens_bytes)
 
 
 @settings(max_examples=60, deadline=None)
