@@ -10,12 +10,13 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomline.llm.canonical import canonical_words
-from loomline.session import maybe_broadcast, skew_join, written
+from loomline.session import BROADCAST_ROWS, maybe_broadcast, skew_join, written
 
 #: Words per shingle. The general rule of five would lose partners at one edit in five words
 #: (five edits destroy up to 25 shingles), two words leave a usable bound for all lengths.
@@ -34,12 +35,12 @@ def sided(df: DataFrame, id_col: str, lang_col: str = "lang_dir", src: str = "sr
     return df.select(F.col(id_col).alias("id"), F.inline(both)).where("id IS NOT NULL AND lang IS NOT NULL AND t <> ''").select("id", "lang", "t")
 
 
-def _shingles(words: Column) -> Column:
-    """Word bigrams with a mark before the first word and after the last (n + 1 of n words),
+def _shingles(lang: Column, words: Column) -> Column:
+    """Hashes of a language and its word bigrams, with a mark before the first word and after the last (n + 1 of n words),
     repeats numbered, so that the list is a set."""
     padded = F.concat(F.array(F.lit("\u0002")), words, F.array(F.lit("\u0003")))
     # bound by a lambda, so that the text is split once and not at every shingle
-    pairs = F.transform(F.array(padded), lambda p: F.transform(F.sequence(F.lit(0), F.size(p) - 2), lambda i: F.xxhash64(F.get(p, i), F.get(p, i + 1))))
+    pairs = F.transform(F.array(padded), lambda p: F.transform(F.sequence(F.lit(0), F.size(p) - 2), lambda i: F.xxhash64(lang, F.get(p, i), F.get(p, i + 1))))
     return F.get(pairs, 0)
 
 
@@ -60,6 +61,27 @@ def _needed(n: Column) -> Column:
     return F.least(_shared(n), _shared(F.ceil(n / FRACTION) * FRACTION)).cast("int")
 
 
+def _known(wanted: np.ndarray):
+    """Arrow function: keeps of each row's shingles g those of a sorted array, and of the rows those with enough left."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            g = b.column("g")
+            flat, edges = g.flatten().to_numpy(), np.asarray(g.offsets) - g.offsets[0].as_py()
+            at = np.minimum(np.searchsorted(wanted, flat), max(0, len(wanted) - 1))
+            has = wanted[at] == flat if len(wanted) else np.zeros(len(flat), bool)
+            upto = np.concatenate([[0], np.cumsum(has)])
+            size, n = upto[edges[1:]] - upto[edges[:-1]], b.column("n").to_numpy().astype(np.int64)
+            shared = lambda x: x + 1 - Q * (x // FRACTION)
+            keep = size >= np.minimum(shared(n), shared(-(-n // FRACTION) * FRACTION))
+            flat = flat[has & np.repeat(keep, np.diff(edges))]
+            offsets = np.concatenate([[0], np.cumsum(size[keep])]).astype(np.int32)
+            some = b.filter(pa.array(keep))
+            yield pa.record_batch([some.column("c"), some.column("n"), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], names=["c", "n", "g"])
+
+    return run
+
+
 def _within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Keep the rows whose word sequences a, b are within the allowed edit distance."""
 
@@ -105,35 +127,42 @@ def side_links(evals: DataFrame, train: DataFrame, id_col: str = "line_id") -> t
         return written(sided(df, id_col).withColumn("c", F.xxhash64("lang", "t")), label)
 
     e_side, t_side = sides(evals, "p3-eval"), sides(train, "p3-train")
-    first = e_side.groupBy("c").agg(F.min(F.struct("lang", "t")).alias("x")).select("c", "x.lang", "x.t")
-    e_text = written(_numbered(first.select("c", "lang", "t", F.size(w).alias("n"), _shingles(w).alias("g")), "g"), "p3-eval-texts")
-    wanted = written(e_text.select("lang", F.explode("g").alias("s")).distinct(), "p3-wanted")
+    def shingled(side: DataFrame) -> DataFrame:
+        return _numbered(side.select("c", "t", F.size(w).alias("n"), _shingles(F.col("lang"), w).alias("g")), "g")
 
-    # (c, lang, n, s): the shingles of a training class that the evaluation split knows, one of any copies
-    exploded = _numbered(t_side.select("c", "lang", F.size(w).alias("n"), _shingles(w).alias("g")), "g").select("c", "lang", "n", F.explode("g").alias("s"))
-    known = exploded.join(maybe_broadcast(wanted), ["lang", "s"], "left_semi").groupBy("c", "lang", "n").agg(F.collect_set("s").alias("g"))
-    t_known = written(known.where(F.size("g") >= _needed(F.col("n"))), "p3-known")
+    first = e_side.groupBy("c").agg(F.min(F.struct("lang", "t")).alias("x")).select("c", "x.lang", "x.t")
+    e_text = written(shingled(first), "p3-eval-texts")
+    wanted = written(e_text.select(F.explode("g").alias("s")).distinct(), "p3-wanted")
+
+    # (c, n, g): the shingles of a training class that the evaluation split knows, if they are enough; one of any copies
+    every = shingled(t_side).select("c", "n", "g")
+    if wanted.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        few = np.sort(wanted.toArrow().column("s").to_numpy())
+        known = every.mapInArrow(_known(few), "c long, n int, g array<long>").groupBy("c", "n").agg(F.collect_set("g")[0].alias("g"))
+    else:
+        met_here = every.select("c", "n", F.explode("g").alias("s")).join(wanted, "s", "left_semi")
+        known = met_here.groupBy("c", "n").agg(F.collect_set("s").alias("g")).where(F.size("g") >= _needed(F.col("n")))
+    t_known = written(known, "p3-known")
 
     # global order: shingles by how many training classes have them, rarest first
-    seen = t_known.select("lang", F.explode("g").alias("s")).groupBy("lang", "s").agg(F.count(F.lit(1)).alias("f"))
-    order = written(wanted.join(seen, ["lang", "s"], "left").select("lang", "s", F.coalesce("f", F.lit(0)).alias("f")), "p3-order")
+    seen = t_known.select(F.explode("g").alias("s")).groupBy("s").agg(F.count(F.lit(1)).alias("f"))
+    order = written(wanted.join(seen, "s", "left").select("s", F.coalesce("f", F.lit(0)).alias("f")), "p3-order")
 
     def prefixes(text: DataFrame) -> DataFrame:
-        """(c, lang, n, s, rest): the shingles of each class's prefix, with how many of its shingles are
+        """(c, n, s, rest): the shingles of each class's prefix, with how many of its shingles are
         left from there on. Shingles unknown to the evaluation split stand first: they are the rarest."""
-        own = ["c", "lang", "n"]
-        ranked = text.select(*own, F.explode("g").alias("s")).join(maybe_broadcast(order), ["lang", "s"])
-        per = ranked.groupBy(*own).agg(F.sort_array(F.collect_list(F.struct("f", "s"))).alias("o"))
+        ranked = text.select("c", "n", F.explode("g").alias("s")).join(maybe_broadcast(order), "s")
+        per = ranked.groupBy("c", "n").agg(F.sort_array(F.collect_list(F.struct("f", "s"))).alias("o"))
         # of n + 1 shingles, the last _needed() - 1 can't be the first that is shared
         room = F.greatest(F.lit(0), F.size("o") - _needed(F.col("n")) + 1)
-        cut = per.select(*own, F.size("o").alias("k"), F.posexplode(F.slice("o", 1, room)).alias("i", "x"))
-        return cut.select(*own, F.col("x.s").alias("s"), (F.col("k") - F.col("i")).alias("rest"))
+        cut = per.select("c", "n", F.size("o").alias("k"), F.posexplode(F.slice("o", 1, room)).alias("i", "x"))
+        return cut.select("c", "n", F.col("x.s").alias("s"), (F.col("k") - F.col("i")).alias("rest"))
 
-    index = written(prefixes(e_text).select("lang", "s", F.col("c").alias("e"), F.col("n").alias("en"), F.col("rest").alias("e_rest")), "p3-index")
-    probe = prefixes(t_known).select("lang", "s", F.col("c").alias("t"), F.col("n").alias("tn"), F.col("rest").alias("t_rest"))
+    index = written(prefixes(e_text).select("s", F.col("c").alias("e"), F.col("n").alias("en"), F.col("rest").alias("e_rest")), "p3-index")
+    probe = prefixes(t_known).select("s", F.col("c").alias("t"), F.col("n").alias("tn"), F.col("rest").alias("t_rest"))
     longest = F.greatest("en", "tn")
     met = (
-        probe.join(maybe_broadcast(index), ["lang", "s"])
+        probe.join(maybe_broadcast(index), "s")
         .where(F.abs(F.col("en") - F.col("tn")) <= F.floor(longest / FRACTION))
         .where(F.least("e_rest", "t_rest") >= _shared(longest))
         .select("e", "t").distinct()
