@@ -61,6 +61,31 @@ def _needed(n: Column) -> Column:
     return F.least(_shared(n), _shared(F.ceil(n / FRACTION) * FRACTION)).cast("int")
 
 
+def _least(n: np.ndarray) -> np.ndarray:
+    """_needed() of numpy arrays."""
+    shared = lambda x: x + 1 - Q * (x // FRACTION)
+    return np.minimum(shared(n), shared(-(-n // FRACTION) * FRACTION))
+
+
+def _prefixes(wanted: np.ndarray, rank: np.ndarray):
+    """Arrow function: (c, n, s, rest) of the prefix of each row's shingles g, all of which are in a sorted array, in the
+    order of their ranks; rest is how many are left from there on."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            g = b.column("g")
+            flat, size = g.flatten().to_numpy(), np.diff(np.asarray(g.offsets)).astype(np.int64)
+            row = np.repeat(np.arange(b.num_rows), size)
+            order = np.lexsort((rank[np.searchsorted(wanted, flat)], row)) if len(flat) else np.zeros(0, np.int64)
+            row, flat = row[order], flat[order]
+            rest = size[row] - (np.arange(len(row)) - (np.cumsum(size) - size)[row])
+            keep = rest >= _least(b.column("n").to_numpy().astype(np.int64))[row]
+            own = b.take(pa.array(row[keep]))
+            yield pa.record_batch([own.column("c"), own.column("n"), pa.array(flat[keep]), pa.array(rest[keep])], names=["c", "n", "s", "rest"])
+
+    return run
+
+
 def _known(wanted: np.ndarray):
     """Arrow function: keeps of each row's shingles g those of a sorted array, and of the rows those with enough left."""
 
@@ -72,8 +97,7 @@ def _known(wanted: np.ndarray):
             has = wanted[at] == flat if len(wanted) else np.zeros(len(flat), bool)
             upto = np.concatenate([[0], np.cumsum(has)])
             size, n = upto[edges[1:]] - upto[edges[:-1]], b.column("n").to_numpy().astype(np.int64)
-            shared = lambda x: x + 1 - Q * (x // FRACTION)
-            keep = size >= np.minimum(shared(n), shared(-(-n // FRACTION) * FRACTION))
+            keep = size >= _least(n)
             flat = flat[has & np.repeat(keep, np.diff(edges))]
             offsets = np.concatenate([[0], np.cumsum(size[keep])]).astype(np.int32)
             some = b.filter(pa.array(keep))
@@ -136,7 +160,8 @@ def side_links(evals: DataFrame, train: DataFrame, id_col: str = "line_id") -> t
 
     # (c, n, g): the shingles of a training class that the evaluation split knows, if they are enough; one of any copies
     every = shingled(t_side).select("c", "n", "g")
-    if wanted.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+    small = wanted.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    if small:
         few = np.sort(wanted.toArrow().column("s").to_numpy())
         known = every.mapInArrow(_known(few), "c long, n int, g array<long>").groupBy("c", "n").agg(F.collect_set("g")[0].alias("g"))
     else:
@@ -148,10 +173,17 @@ def side_links(evals: DataFrame, train: DataFrame, id_col: str = "line_id") -> t
     seen = t_known.select(F.explode("g").alias("s")).groupBy("s").agg(F.count(F.lit(1)).alias("f"))
     order = written(wanted.join(seen, "s", "left").select("s", F.coalesce("f", F.lit(0)).alias("f")), "p3-order")
 
+    if small:
+        f = order.toArrow().sort_by("s").column("f").to_numpy()
+        rank = np.empty(len(few), np.int64)
+        rank[np.lexsort((few, f))] = np.arange(len(few))
+
     def prefixes(text: DataFrame) -> DataFrame:
         """(c, n, s, rest): the shingles of each class's prefix, with how many of its shingles are
         left from there on. Shingles unknown to the evaluation split stand first: they are the rarest."""
-        ranked = text.select("c", "n", F.explode("g").alias("s")).join(maybe_broadcast(order), "s")
+        if small:
+            return text.select("c", "n", "g").mapInArrow(_prefixes(few, rank), "c long, n int, s long, rest long")
+        ranked = text.select("c", "n", F.explode("g").alias("s")).join(order, "s")
         per = ranked.groupBy("c", "n").agg(F.sort_array(F.collect_list(F.struct("f", "s"))).alias("o"))
         # of n + 1 shingles, the last _needed() - 1 can't be the first that is shared
         room = F.greatest(F.lit(0), F.size("o") - _needed(F.col("n")) + 1)

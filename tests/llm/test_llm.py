@@ -116,7 +116,7 @@ def edits(a, b):
     return row[-1]
 
 
-def test_near_lines_against_all_pairs(spark):
+def test_near_lines_against_all_pairs(spark, monkeypatch):
     r = random.Random(5)
     word = lambda: r.choice("abcdefgh")
     base = [[word() for _ in range(r.randint(1, 14))] for _ in range(30)]
@@ -143,6 +143,9 @@ def test_near_lines_against_all_pairs(spark):
                 want.add((x[0], y[0]))
     ed, td = spark.createDataFrame(e, schema), spark.createDataFrame(t, schema)
     assert {tuple(q) for q in overlap.near_lines(ed, td).collect()} == want
+    monkeypatch.setattr(overlap, "BROADCAST_ROWS", 3)  # the way of large evaluation splits
+    assert {tuple(q) for q in overlap.near_lines(ed, td).collect()} == want
+    monkeypatch.undo()
     assert overlap.near_lines(ed, td.limit(0)).count() == 0 and overlap.near_lines(ed.limit(0), td).count() == 0
 
 
