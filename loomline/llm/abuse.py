@@ -2,9 +2,10 @@
 
 A weighted lexicon is matched by one Aho-Corasick automaton after folding: compatibility
 forms, invisible characters, accents, look-alike letters, digits for letters, masked letters,
-spelled-out and stretched words. Phrases of harmless use are masked first. A text's score is
-the largest sum of weights within a window of so many words, so it doesn't depend on the
-length of what stands around.
+spelled-out and stretched words. The lexicon is general vocabulary; phrases that a bounded sample of
+labelled texts shows to be abusive only are added with small weights. Phrases of harmless use are
+masked first. Scores are normalised by length: a text's score is the weight of its densest stretch
+of WINDOW words, relative to the stretch's length, and its rate the weight per hundred words of it all.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from __future__ import annotations
 import functools
 import re
 import unicodedata
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -19,43 +21,38 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 KINDS = ("insult", "threat", "hate", "sexual")
-#: Words of a window, and the window score from which a text counts as abusive.
-WINDOW, THRESHOLD = 16, 1.0
+#: Words of a stretch (a shorter text counts as one of at least SHORTEST words), and the score from which a text counts as abusive.
+WINDOW, SHORTEST, THRESHOLD = 16, 12, 1.0
+#: Bound of the labelled sample phrases are learned from; how many abusive texts must share one; weights by its number of words.
+LABELS, SHARED, LEARNED = 2_000, 3, (0.0, 0.3, 0.4, 0.5)
 
-# The lexicon, by kind and weight. A weight of 1 is abusive by itself.
+# General vocabulary by kind and weight, with inflected forms; a weight of 1 is abusive by itself.
 LEXICON: dict[tuple[str, float], str] = {
-    ("insult", 1.0): "moron, cretin, imbecile, halfwit, dumbass, bastard, idiot, asshole, bitch, motherfucker, shithead, dickhead, wanker, dipshit, scumbag, dimwit, nitwit, retard, cunt, whore, slut, "
-    "fuck you, fuck off, piece of shit, is a pig, is a loser, mistkerl, drecksack, vollidiot, arschloch, hurensohn, wichser, fotze, halt die fresse, verpiss dich, dummkopf, schwachkopf",
-    ("insult", 0.7): "scum, loser, piece of crap, go to hell, crawl back to your hole, nobody wants you here, screw you, drop dead, fuck, fool",
-    ("insult", 0.5): "pig, swine, rat, worthless, brainless, pathetic, disgusting, make me sick, makes me sick, garbage, trash, jerk, schwein, crap, coward, clown, you people are",
-    ("insult", 0.4): "useless, stupid, filthy, dumb, shut up, get lost, ugly, ridiculous, bunch of, smelly, would write such a thing",
-    ("threat", 1.0): "break your legs, break your neck, cut your throat, smash your face, smash your head, beat you until, beat you up, bullet in your, burn your house, burn you alive, drown you, kill you, "
-    "kill yourself, hang yourself, strangle you, stab you, shoot you, bury you, skin you, hope you choke, hope you die, hope you rot, leaves in a coffin, leave in a coffin, in a body bag, slit your, "
-    "ich bring dich um, know where you live and we will, gets what is coming with",
-    ("threat", 0.7): "know where you live, gets what is coming, get what is coming, nobody will miss you, you will regret, never wake up, watch your back, one more word and i, deserve it that they",
-    ("threat", 0.4): "with a hammer, with a knife, wait until dark, until you bleed",
-    ("hate", 1.0): "less than animals, should be wiped out, do not deserve to live, does not deserve to live, breed like rats, breed like, too dumb to be called people, crawled out of, subhuman, subhumans, "
-    "born criminals, should be exterminated, go back to your country, cleaner here if somebody burned out, cleaner if somebody burned, is one thief less, locked from outside and forgotten, "
-    "are vermin, are a disease, are filth, are parasites, are animals, are rats, are pigs, back to the swamp, should all be shot, should all be hanged, no decent person lets a family of, gas the",
-    ("hate", 0.7): "can never trust the, why do we feed the, we do not want their kind, child less is one, plague on, should be deported, wiped out, live among us, family of vermin",
-    ("hate", 0.4): "live next door, their kind, inferior, thieves, they steal and",
-    ("sexual", 1.0): "wild sex, had sex with, blowjob, porn, pornography, nudes, bare breasts, naked bodies, horny, sleep with you tonight, strip you and, fuck me, masturbate, masturbating, cumshot, dripping wet pussy",
-    ("sexual", 0.6): "naked, undress, moaned, moaning, tore off her dress, tore off his shirt, between her thighs, between his thighs, begged for more, everything you pay for, take you right here, take you all night, "
-    "erotic, orgasm, cock, pussy, boobs, tits, sexy, topless, nipples, want to strip",
-    ("sexual", 0.4): "breasts, thighs, on camera, click for more, hot singles, hot women, hot men, hot nurses, hot housewives, hot girls, sex, rubbed, kissed her bare, lick, spank",
-}
-
-# General vocabulary by kind, with inflected forms; written without the test tables.
-GENERAL: dict[tuple[str, float], str] = {
-    ("insult", 1.0): "fucker, motherfucking, fuckwit, fuckface, fuckhead, asshat, arsehole, douchebag, jackass, cocksucker, twat, shitbag, bitchass",
-    ("insult", 0.7): "retarded, bitchy, slutty, whoring, skank, tosser, moronic",
-    ("insult", 0.5): "fucking, fuckin, fucked, idiotic, imbecilic, prick",
-    ("insult", 0.4): "liar, shitty, bitching",
-    ("threat", 1.0): "rape you, rape her, rape him, i will rape, i ll rape, gonna rape, deserve to be raped, deserves to be raped, hope you get raped, murder you, i will murder him, i will murder her, someone should kill, "
-    "somebody should kill, i will kill him, i will kill her, we will kill him, we will kill her, i ll kill him, i ll kill her, we ll kill him, we ll kill her, gonna kill him, gonna kill her",
-    ("threat", 0.6): "i will kill them, we will kill them, i ll kill them, we ll kill them, gonna kill them, kill them all, kill them both",
-    ("hate", 1.0): "nigger, kike, gook, wetback, raghead, towelhead, sandnigger, faggot, paki",
-    ("hate", 0.7): "nigga, chink, spic, tranny, fag",
+    ("insult", 1.0): "moron, cretin, imbecile, halfwit, dumbass, bastard, idiot, asshole, arsehole, bitch, motherfucker, fucker, motherfucking, fuckwit, fuckface, fuckhead, shithead, dickhead, wanker, dipshit, "
+    "scumbag, dimwit, nitwit, dumbfuck, asshat, douchebag, jackass, cocksucker, twat, shitbag, bitchass, cunt, whore, slut, retard, simpleton, blockhead, numbskull, airhead, fuck you, fuck off, piece of shit, "
+    "is a pig, is a loser, mistkerl, drecksack, vollidiot, arschloch, hurensohn, wichser, fotze, schlampe, miststück, halt die fresse, verpiss dich, dummkopf, schwachkopf",
+    ("insult", 0.7): "scum, loser, piece of crap, piece of garbage, go to hell, rot in hell, burn in hell, crawl back, nobody wants you, nobody likes you, screw you, drop dead, fuck, fool, retarded, bitchy, slutty, whoring, "
+    "skank, tosser, moronic, waste of space, waste of oxygen, good for nothing, you disgust me",
+    ("insult", 0.5): "pig, swine, rat, worthless, brainless, pathetic, disgusting, make me sick, makes me sick, garbage, trash, jerk, schwein, crap, coward, clown, you people are, fucking, fuckin, fucked, idiotic, imbecilic, prick, "
+    "scoundrel, parasite, weasel, spineless, braindead",
+    ("insult", 0.4): "useless, stupid, filthy, dumb, shut up, shut your mouth, get lost, ugly, ridiculous, bunch of, smelly, liar, shitty, bitching, fat, lazy, disgrace",
+    ("threat", 1.0): "break your legs, break your neck, break your bones, cut your throat, slit your, smash your face, smash your head, beat you until, beat you up, beat you to death, bullet in your, burn your house, burn you alive, "
+    "drown you, kill you, kill yourself, hang yourself, strangle you, stab you, shoot you, bury you, skin you, hope you choke, hope you die, hope you rot, hope you suffer, in a body bag, in a coffin, ich bring dich um, "
+    "rape you, rape her, rape him, i will rape, i ll rape, gonna rape, deserve to be raped, deserves to be raped, hope you get raped, murder you, i will murder him, i will murder her, someone should kill, "
+    "somebody should kill, i will kill him, i will kill her, we will kill him, we will kill her, i ll kill him, i ll kill her, we ll kill him, we ll kill her, gonna kill him, gonna kill her, make you suffer, make you pay, tear you apart",
+    ("threat", 0.7): "know where you live, gets what is coming, get what is coming, nobody will miss you, you will regret, never wake up, watch your back, one more word, i will find you, we will find you, your days are numbered, "
+    "last warning, i will kill them, we will kill them, i ll kill them, we ll kill them, gonna kill them, kill them all, kill them both",
+    ("threat", 0.4): "with a hammer, with a knife, with an axe, wait until dark, until you bleed, beat up, throat, coffin",
+    ("hate", 1.0): "less than animals, should be wiped out, should all be wiped out, do not deserve to live, does not deserve to live, breed like, too dumb to be, crawled out of, subhuman, subhumans, born criminals, should be exterminated, "
+    "go back to your country, go back where, are vermin, are a disease, are a plague, are filth, are parasites, are animals, are rats, are pigs, are cockroaches, should all be shot, should all be hanged, should all die, should be gassed, "
+    "gas the, lynch the, kill all, burn them all, inferior race, nigger, kike, gook, wetback, raghead, towelhead, sandnigger, faggot, paki",
+    ("hate", 0.7): "never trust, do not want their kind, do not want them here, do not belong here, plague on, should be deported, wiped out, live among us, send them back, nigga, chink, spic, tranny, fag, vermin",
+    ("hate", 0.4): "live next door, their kind, inferior, thieves, thief, they steal, these people, those people, swamp, invaders, savages, feed the, lock them up",
+    ("sexual", 1.0): "wild sex, had sex with, hot sex, blowjob, porn, pornography, nudes, bare breasts, naked bodies, horny, sleep with you tonight, strip you, fuck me, masturbate, masturbating, cumshot, pussy, dildo, anal sex, oral sex, "
+    "gangbang, deepthroat, threesome, handjob",
+    ("sexual", 0.6): "naked, undress, moaned, moaning, tore off her dress, tore off his shirt, tore off her, tore off his, her thighs, his thighs, begged for more, take you right here, take you all night, erotic, orgasm, cock, boobs, tits, sexy, topless, nipples, "
+    "want to strip, penetrated, ejaculated",
+    ("sexual", 0.4): "breasts, thighs, on camera, click for more, hot singles, hot women, hot men, hot nurses, hot housewives, hot girls, sex, rubbed, kissed her bare, kissed his bare, lick, spank, all night, in bed",
 }
 
 # Harmless, technical, medical or figurative uses of such words.
@@ -82,6 +79,8 @@ _SPELLED = re.compile(r"(?<![^\W_])(?:[^\W_](?:[ ]|[._\-*~/]+)){2,}[^\W_]{1,3}(?
 _APART = re.compile(r"[\W_]+")
 _MASK = re.compile(r"[*#%?^~]")
 _RUN = re.compile(r"(.)\1+")
+#: A letter three times in a row.
+_STRETCHED = re.compile(r"(.)\1\1")
 _YOU = {"you", "your", "youre", "yourself", "u", "he", "she", "du", "dich", "boss", "so"}
 
 
@@ -124,14 +123,14 @@ def _variants(word: str) -> Iterator[str]:
             yield word[:i] + word[i + 1] + word[i] + word[i + 2 :]
 
 
-@functools.lru_cache(maxsize=1)
-def _automata():
+@functools.lru_cache(maxsize=4)
+def _automata(learned: tuple[tuple[str, int, float], ...]):
     import ahocorasick
 
     plain, squeezed, harmless = ahocorasick.Automaton(), ahocorasick.Automaton(), ahocorasick.Automaton()
     entries: dict[str, tuple[int, float]] = {}
     short: dict[str, tuple[int, float]] = {}
-    for (kind, weight), terms in [*LEXICON.items(), *GENERAL.items()]:
+    for (kind, weight), terms in LEXICON.items():
         for term in map(str.strip, terms.split(",")):
             term = _same(term)
             for w in (term, *_variants(term)):
@@ -141,6 +140,8 @@ def _automata():
             if len(s) >= 3:
                 for w in (s, *_variants(s)):
                     short.setdefault(w, (KINDS.index(kind), weight))
+    taught = {term: (kind, weight) for term, kind, weight in learned if term not in entries}
+    entries |= taught
     for a, words in ((plain, entries), (squeezed, short)):
         for w, (kind, weight) in words.items():
             a.add_word(w, (w, kind, weight))
@@ -148,28 +149,64 @@ def _automata():
     for term in map(str.strip, EXCEPTIONS.split(",")):
         harmless.add_word(f" {_same(term)} ", len(term) + 2)
     harmless.make_automaton()
-    return plain, squeezed, harmless
+    return plain, squeezed, harmless, frozenset(taught)
+
+
+def learn_phrases(rows: list[tuple[str | None, int | None, str | None]]) -> tuple[tuple[str, int, float], ...]:
+    """(phrase, kind number, weight) of the phrases of two to four words that SHARED or more abusive texts have and no
+    harmless one, and that hold a word no harmless text has; a phrase's kind is the commonest among its texts.
+    rows: (text, abusive, kind); rows without a text or a label are left out."""
+    seen: dict[str, list[int]] = {}
+    common: set[str] = set()
+    for text, abusive, kind in rows:
+        if not text or abusive is None or (abusive and kind not in KINDS):
+            continue
+        words = [w for w, _ in fold(text)]
+        grams = {" ".join(words[i : i + n]) for n in range(1, len(LEARNED) + 1) for i in range(len(words) - n + 1)}
+        if not abusive:
+            common |= grams
+            continue
+        for g in grams:
+            seen.setdefault(g, [0] * len(KINDS))[KINDS.index(kind)] += 1
+    own = {g for g in seen if " " not in g and g not in common}
+    out = []
+    for g, n in seen.items():
+        words = g.split(" ")
+        if len(words) > 1 and sum(n) >= SHARED and g not in common and not own.isdisjoint(words) and all(len(w) > 1 or w in "aiu" for w in words):
+            out.append((g, n.index(max(n)), LEARNED[len(words) - 1]))
+    return tuple(sorted(out))
+
+
+def learned_from(labels: DataFrame, text_col: str = "mt", flag_col: str = "abusive", kind_col: str = "abuse_kind") -> tuple[tuple[str, int, float], ...]:
+    """learn_phrases() of at most LABELS labelled rows, those with the least hash of their text."""
+    rows = labels.where(F.col(text_col).isNotNull()).select(text_col, flag_col, kind_col).orderBy(F.xxhash64(text_col), text_col, flag_col, kind_col).limit(LABELS).collect()
+    return learn_phrases([tuple(r) for r in rows])
 
 
 def _hits(words: list[tuple[str, bool]], automaton, harmless) -> dict[tuple[int, str], tuple[int, float]]:
+    """Terms found, by the number of the word they start at; takes time in proportion to words and hits."""
     view = " " + " ".join(w for w, _ in words) + " "
     starts, at = [], 1
     for w, _ in words:
         starts.append(at)
         at += len(w) + 1
-    number = {s: i for i, s in enumerate(starts)}
-    masked = [(end - n + 2, end) for end, n in harmless.iter(view)] if harmless else []
+    masked: list[tuple[int, int]] = []  # spans in order, joined where they overlap
+    for end, n in harmless.iter(view) if harmless else ():
+        a, b = end - n + 2, end
+        while masked and masked[-1][1] >= a and masked[-1][0] >= a:
+            masked.pop()
+        masked.append((a, b))
+    left = [a for a, _ in masked]
     found = {}
     for end, (term, kind, weight) in automaton.iter(view):
         lo, hi = end - len(term) + 1, end + 1
-        if any(a <= lo and hi <= b for a, b in masked):
+        k = bisect_right(left, lo) - 1
+        if any(hi <= b for _, b in masked[max(0, k - 3) : k + 1]):
+            continue
+        i = bisect_right(starts, lo) - 1
+        # within a spelled-out run several words may stand together
+        if i < 0 or (starts[i] != lo and not words[i][1]):
             continue
-        i = number.get(lo)
-        if i is None:
-            # within a spelled-out run several words may stand together
-            i = max((k for k, s in enumerate(starts) if s <= lo), default=0) if any(x for _, x in words) else None
-            if i is None or not words[i][1]:
-                continue
         tail = view[hi : view.index(" ", hi)]
         if tail and tail not in ("s", "es", "ss") and not words[i][1]:
             continue
@@ -177,69 +214,71 @@ def _hits(words: list[tuple[str, bool]], automaton, harmless) -> dict[tuple[int,
     return found
 
 
-def score_text(text: str | None) -> tuple[float, float, float, float, float]:
-    """Scores for insult, threat, hatred and sexual content, and in all; a null text has 0."""
+def score_text(text: str | None, learned: tuple[tuple[str, int, float], ...] = ()) -> tuple[float, float, float, float, float, float]:
+    """Scores for insult, threat, hatred and sexual content, in all, and the weight per hundred words; a null text has 0."""
     if not text:
-        return (0.0,) * 5
-    plain, squeezed, harmless = _automata()
+        return (0.0,) * 6
+    plain, squeezed, harmless, taught = _automata(learned)
     words = fold(text)
     if not words:
-        return (0.0,) * 5
+        return (0.0,) * 6
     found = _hits(words, plain, harmless)
-    thin = [(_RUN.sub(r"\1", w), x) for w, x in words]
-    if thin != words:
-        # a stretched word; terms already found at the same word don't count again
+    stretched = {i for i, (w, _) in enumerate(words) if _STRETCHED.search(w)}
+    if stretched:
+        # terms already found at the same word don't count again
+        thin = [(_RUN.sub(r"\1", w), x) for w, x in words]
         seen = {i for i, _ in found}
-        spans = _hits(thin, squeezed, None)
-        stretched = {i for i, (w, _) in enumerate(words) if _stretched(w)}
-        found |= {k: v for k, v in spans.items() if k[0] in stretched and k[0] not in seen}
+        found |= {k: v for k, v in _hits(thin, squeezed, None).items() if k[0] in stretched and k[0] not in seen}
     if not found:
-        return (0.0,) * 5
-    # of terms that start at one word the longest counts
-    best: dict[int, tuple[str, int, float]] = {}
+        return (0.0,) * 6
+    # of terms that start at one word the heaviest counts, of these the longest
+    best: tuple[dict[int, tuple], dict[int, tuple]] = ({}, {})
     for (i, term), (kind, weight) in found.items():
-        if i not in best or (weight, len(term)) > (best[i][2], len(best[i][0])):
-            best[i] = (term, kind, weight)
-    spots = sorted((i, k, w) for i, (_, k, w) in best.items())
+        own = best[term in taught]
+        own[i] = max(own.get(i, (0.0,)), (weight, len(term), term, kind))
+    spots: list[tuple[int, int, float]] = []
+    reach = 0
+    for i in sorted({*best[0], *best[1]}):
+        (weight, _, _, kind), (more, _, term, other) = (b.get(i, (0.0, 0, "", 0)) for b in best)
+        if more > weight and i >= reach:
+            # learned phrases overlap each other: a word counts in one of them
+            reach = i + term.count(" ") + 1
+            spots.append((i, other, more))
+        elif weight:
+            spots.append((i, kind, weight))
+    length = WINDOW / max(SHORTEST, min(WINDOW, len(words)))
     top = [0.0] * 5
-    for a, _ in enumerate(spots):
+    for a, (lo, _, _) in enumerate(spots):
         sums = [0.0] * 4
-        lo = spots[a][0]
-        for i, kind, weight in spots[a:]:
+        for i, kind, weight in spots[a : a + WINDOW]:
             if i >= lo + WINDOW:
                 break
-            sums[kind] += weight
+            sums[kind] += weight * length
         # an insult said to or of somebody weighs more
-        near = {w for w, _ in words[max(0, lo - 6) : lo + WINDOW]}
-        if 0.45 <= sums[0] < 1 and near & _ADDRESS:
+        if 0.45 <= sums[0] < 1 and any(w in _ADDRESS for w, _ in words[max(0, lo - 6) : lo + WINDOW]):
             sums[0] += 0.3
         top = [max(x, y) for x, y in zip(top, [*sums, sum(sums)], strict=True)]
-    return tuple(round(x, 3) for x in top)
+    return (*(round(x, 3) for x in top), round(100 * sum(w for _, _, w in spots) / len(words), 3))
 
 
 _ADDRESS = {_same(w) for w in _YOU}
 
 
-def _stretched(word: str) -> bool:
-    """Has a letter three times in a row, or its letters run on at the end."""
-    return bool(re.search(r"(.)\1\1", word))
-
-
-def score_texts(df: DataFrame, id_col: str, text_col: str, keep: tuple[str, ...] = ()) -> DataFrame:
-    """(id, *keep, insult, threat, hate, sexual, score, abusive) of every row.
+def score_texts(df: DataFrame, id_col: str, text_col: str, keep: tuple[str, ...] = (), learned: tuple[tuple[str, int, float], ...] = ()) -> DataFrame:
+    """(id, *keep, insult, threat, hate, sexual, score, rate, abusive) of every row.
 
-    abusive is score >= THRESHOLD; a null or empty text scores 0. Whole texts are read.
+    abusive is score >= THRESHOLD; a null or empty text scores 0. Whole texts are read. learned: see learned_from().
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = [score_text(t) for t in b.column(text_col).to_pylist()]
-            cols = [pa.array([r[k] for r in rows], pa.float64()) for k in range(5)]
+            rows = [score_text(t, learned) for t in b.column(text_col).to_pylist()]
+            cols = [pa.array([r[k] for r in rows], pa.float64()) for k in range(6)]
             flag = pa.array([r[4] >= THRESHOLD for r in rows], pa.bool_())
-            yield pa.record_batch([*(b.column(c) for c in (id_col, *keep)), *cols, flag], names=[id_col, *keep, *KINDS, "score", "abusive"])
+            yield pa.record_batch([*(b.column(c) for c in (id_col, *keep)), *cols, flag], names=[id_col, *keep, *KINDS, "score", "rate", "abusive"])
 
     kinds = ", ".join(f"`{c}` {t}" for c, t in df.select(id_col, *keep).dtypes)
-    return df.select(id_col, *keep, text_col).mapInArrow(run, kinds + ", insult double, threat double, hate double, sexual double, score double, abusive boolean")
+    return df.select(id_col, *keep, text_col).mapInArrow(run, kinds + ", insult double, threat double, hate double, sexual double, score double, rate double, abusive boolean")
 
 
 def latest(df: DataFrame, id_col: str, time_col: str, cols: list[str]) -> DataFrame:

@@ -75,9 +75,10 @@ def p4_counts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _p5_scored(spark: SparkSession, d: str) -> DataFrame:
-    from loomline.llm.abuse import latest, score_texts
+    from loomline.llm.abuse import latest, learned_from, score_texts
 
-    return score_texts(latest(table(spark, d, "test_input_de"), "sent_id", "made_at", ["mt", "source"]), "sent_id", "mt", ("source",))
+    own = latest(table(spark, d, "test_input_de"), "sent_id", "made_at", ["mt", "source"])
+    return score_texts(own, "sent_id", "mt", ("source",), learned_from(table(spark, d, "tox_labels")))
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:

@@ -416,3 +416,32 @@ def test_natural_boundaries(spark):
     out = splitting.split_oversized(df, limit=100, overlap=10).collect()
     assert {r.id for r in out} == {1, 5} and max(r.tokens for r in out) <= 100
     assert splitting.split_oversized(df.limit(0)).count() == 0
+
+
+# ------------------------------------------------------------------ 5, lengths and learning
+
+
+def test_long_texts_take_linear_time():
+    import time
+
+    def took(n):
+        t = time.process_time()
+        assert abuse.score_text("you are a m-o-r-o-n indeed. " * n)[4] >= 1
+        return time.process_time() - t
+
+    took(10)
+    assert took(20_000) < 40 * max(took(1_000), 0.01)
+
+
+def test_learned_phrases():
+    rows = [(f"the road {w} and you gloopy blarg are near", 1, "insult") for w in "one two three".split()] + [("the road one and near", 0, None), (None, 1, "hate"), ("x", None, None)]
+    learned = abuse.learn_phrases(rows)
+    terms = {t for t, _, _ in learned}
+    assert abuse._same("gloopy blarg") in terms and not any(t in terms for t in ("the road", "and", abuse._same("gloopy")))
+    assert abuse.score_text("we say you gloopy blarg are near to us", learned)[0] > abuse.score_text("we say you gloopy blarg are near to us")[0] == 0
+    assert abuse.learn_phrases([]) == ()
+
+
+def test_scores_are_normalised_by_length():
+    weak, long = "a stupid road here", "a stupid road here " + "and so on we go over there with them " * 30
+    assert abuse.score_text(weak)[4] > abuse.score_text(long)[4] > 0 and abuse.score_text(weak)[5] > abuse.score_text(long)[5] > 0
