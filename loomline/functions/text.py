@@ -70,9 +70,10 @@ def remove_unicode_punct(c: Column) -> Column:
 
 @functools.cache
 def _accents() -> tuple[str, str]:
-    """Letters that are a base letter with marks, and their base letters. Hangul syllables aren't."""
+    """Characters that decompose to one base character with marks, and their base characters: accented letters, voiced
+    kana, compatibility ideographs. Hangul syllables decompose to several letters and stay whole."""
     pairs = []
-    for n in range(0xC0, 0x2E80):
+    for n in (*range(0xC0, 0xD800), *range(0xE000, 0x10000)):
         d = [x for x in unicodedata.normalize("NFD", chr(n)) if unicodedata.category(x) != "Mn"]
         if len(d) == 1 and d[0] != chr(n):
             pairs.append((chr(n), d[0]))
@@ -80,8 +81,8 @@ def _accents() -> tuple[str, str]:
 
 
 def strip_accents(c: Column) -> Column:
-    """Letters without their accents: composed letters below the Han block are mapped to
-    their base, loose marks dropped. Later blocks have no accented letters but Hangul, which stays."""
+    """Letters without their accents: composed characters are mapped to their base, loose marks dropped. Hangul
+    syllables stay composed."""
     return F.regexp_replace(F.translate(c, *_accents()), r"\p{Mn}", "")
 
 
@@ -201,9 +202,11 @@ def listed(c: Column, words: list[str]) -> Column:
     return let(c, lambda t: F.filter(F.array(*(F.lit(w) for w in words)), lambda w: F.contains(t, F.concat(F.lit(" "), w, F.lit(" ")))))
 
 
-def toxicity_count(c: Column, words: list[str]) -> Column:
-    """Distinct list entries contained, as written or in lower case, whichever is more."""
-    return F.greatest(F.size(listed(toxicity_tokens(c), words)), F.size(listed(toxicity_tokens(F.lower(c)), words)))
+def toxicity_count(c: Column, words: list[str], tokenizer=None) -> Column:
+    """Distinct list entries contained, as written or in lower case, whichever is more. tokenizer: a function of
+    a column that sets words apart by single blanks, with blanks around."""
+    cut = tokenizer or toxicity_tokens
+    return F.greatest(F.size(listed(cut(c), words)), F.size(listed(cut(F.lower(c)), words)))
 
 
 def word_format(c: Column) -> Column:
@@ -221,6 +224,20 @@ def sentences(c: Column) -> Column:
     return F.filter(F.transform(F.split(own, _STOP), F.trim), lambda s: s != "")
 
 
+def word_values(tokens: Column, values: Column, how: str = "sum") -> Column:
+    """Sum or mean of the values of the sub-words of each word, in order."""
+    n = merge_subwords(tokens)
+
+    def pooled(x: Column) -> Column:
+        of = lambda k: F.transform(F.filter(F.arrays_zip(x["n"].alias("n"), x["v"].alias("v")), lambda e: e["n"] == k), lambda e: e["v"])
+        total = lambda a: F.aggregate(a, F.lit(0.0), lambda s, y: s + y)
+        one = (lambda a: total(a)) if how == "sum" else (lambda a: total(a) / F.size(a))
+        return F.transform(F.sequence(F.lit(0), F.array_max(x["n"])), lambda k: let(of(k), one))
+
+    none = F.expr("array()").cast("array<double>")
+    return F.when(F.size(tokens) > 0, let(F.struct(n.alias("n"), values.cast("array<double>").alias("v")), pooled)).when(tokens.isNotNull(), none)
+
+
 def merge_subwords(tokens: Column) -> Column:
     """Word number (from 0) of each sub-word: one begins at the first token, at ▁, __ and <."""
     starts = F.transform(tokens, lambda t, i: ((i == 0) | t.startswith("▁") | t.startswith("__") | t.startswith("<")).cast("int"))

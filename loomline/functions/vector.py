@@ -73,3 +73,13 @@ def parse_segment(c: Column, factor: int | None = None) -> Column:
     if factor is not None:
         out = out.when(c.rlike(three), audio(three, F.lit(factor).cast("long")))
     return out.when(c.rlike(blank), audio(blank, F.lit(16).cast("long"))).otherwise(text)
+
+
+def segment_text(s: Column, sep: str = "|") -> Column:
+    """The text of a parsed segment, as parse_segment() reads it; null for plain text."""
+    return F.when(s["kind"] == "audio", F.concat_ws(sep, s["path"], s["start"].cast("string"), s["end"].cast("string"), s["factor"].cast("string")))
+
+
+def long_enough(score: Column, s: Column, threshold: float, seconds: float) -> Column:
+    """Whether a segment's score and its duration in seconds (ticks are factor * 1000 a second) are above both limits."""
+    return (score > threshold) & ((s["end"] - s["start"]) / (s["factor"] * 1000) > seconds)

@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loomline.functions.text import char_ngrams
+
 
 def _grams(words: Column, n: int) -> Column:
     return F.when(F.size(words) >= n, F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(words) - n + 1)), lambda i: F.array_join(F.slice(words, i, F.lit(n)), " "))).otherwise(F.expr("array()").cast("array<string>"))
@@ -32,6 +34,42 @@ def bleu(df: DataFrame, group: str, id_col: str, hyp: str, ref: str, most: int =
     return lengths.join(p, "g").select(F.col("g").alias(group), "hyp_len", "ref_len", score.alias("bleu"))
 
 
+def chrf(df: DataFrame, group: str, id_col: str, hyp: str, ref: str, most: int = 6, beta: float = 2.0) -> DataFrame:
+    """Corpus chrF per group, 0 to 100: precision and recall of character n-grams without blanks, averaged over the orders that
+    occur on either side, as an F measure with recall weighted beta times. Rows without both sides don't count."""
+    own = df.where(F.col(hyp).isNotNull() & F.col(ref).isNotNull()).select(F.col(group).alias("g"), F.col(id_col).alias("i"), F.col(hyp).alias("h"), F.col(ref).alias("r"))
+
+    def tagged(c: str, side: int) -> Column:
+        of = lambda n: F.transform(char_ngrams(F.col(c), n), lambda x: F.struct(F.lit(n).alias("n"), x.alias("x"), F.lit(side).alias("s")))
+        return F.flatten(F.array(*(of(n) for n in range(1, most + 1))))
+
+    per = own.select("g", "i", F.inline(F.concat(tagged("h", 0), tagged("r", 1)))).groupBy("g", "i", "n", "x").agg(F.count_if(F.col("s") == 0).alias("ch"), F.count_if(F.col("s") == 1).alias("cr"))
+    by_n = per.groupBy("g", "n").agg(F.sum(F.least("ch", "cr")).alias("hit"), F.sum("ch").alias("ah"), F.sum("cr").alias("ar"))
+    ratio = lambda a: F.avg(F.coalesce(F.try_divide(F.col("hit"), F.col(a)), F.lit(0.0)))
+    pr = by_n.groupBy("g").agg(ratio("ah").alias("p"), ratio("ar").alias("r"))
+    score = F.coalesce(100 * (1 + beta**2) * F.try_divide(F.col("p") * F.col("r"), beta**2 * F.col("p") + F.col("r")), F.lit(0.0))
+    return pr.select(F.col("g").alias(group), score.alias("chrf"))
+
+
+def rollout(df: DataFrame, id_col: str, layers: str) -> DataFrame:
+    """(id, matrix): contributions through all layers of each row's square attention matrices (layers by rows by columns): each with its
+    rows made to sum to 1 and half the identity added for the residual, multiplied from the first layer to the last."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = []
+            for x in b.column("x").to_pylist():
+                whole = None
+                for layer in x or []:
+                    a = np.array(layer, np.float64)
+                    a = 0.5 * a / np.maximum(a.sum(1, keepdims=True), 1e-12) + 0.5 * np.eye(len(a))
+                    whole = a if whole is None else a @ whole
+                out.append(whole.tolist() if whole is not None else None)
+            yield pa.record_batch([b.column("id"), pa.array(out, pa.list_(pa.list_(pa.float64())))], names=["id", "matrix"])
+
+    kind = dict(df.dtypes)[id_col]
+    return df.select(F.col(id_col).alias("id"), F.col(layers).alias("x")).mapInArrow(run, f"id {kind}, matrix array<array<double>>")
+
+
 def alignment_error(df: DataFrame, sure: str, possible: str, found: str) -> DataFrame:
     """Alignment error rate, precision and recall over arrays of links; one row."""
     both = lambda a, b: F.sum(F.size(F.array_intersect(a, b)))
@@ -43,10 +81,10 @@ def alignment_error(df: DataFrame, sure: str, possible: str, found: str) -> Data
     )
 
 
-def contribution_metrics(m: Column, n_src: Column) -> Column:
+def contribution_metrics(m: Column, n_src: Column, skip_first: bool = False) -> Column:
     """Struct of sentence measures of a contribution matrix (rows: target tokens, columns: source tokens and then
-    the prefix). Only the first n_src columns count."""
-    sc = F.transform(m, lambda row: F.slice(row, F.lit(1), n_src))
+    the prefix). Only the first n_src columns count; with skip_first the first row, a special token, doesn't."""
+    sc = F.transform(F.slice(m, F.lit(2), F.greatest(F.size(m), F.lit(1))) if skip_first else m, lambda row: F.slice(row, F.lit(1), n_src))
     total = lambda a: F.aggregate(a, F.lit(0.0), lambda s, x: s + x)
     mean = lambda a: total(a) / F.size(a)
     columns = F.transform(F.sequence(F.lit(0), n_src - 1), lambda j: F.transform(sc, lambda row: F.get(row, j)))
@@ -63,8 +101,7 @@ def contribution_metrics(m: Column, n_src: Column) -> Column:
         F.when(F.size(by_tgt) > 1, mean(F.slice(by_tgt, F.lit(2), F.size(by_tgt)))).alias("avg_sc_wo_lang"),
         total(F.transform(by_tgt, lambda x: -(x / whole) * F.ln(x / whole))).alias("sc_entropy"),
         share(top_src, lambda x: x < 0.01).alias("src_max_contr_below_001"), F.array_min(top_src).alias("src_max_contr_min"),
-        share(by_src, lambda x: x < 0.1).alias("src_sum_contr_below_01"), F.array_min(by_src).alias("src_sum_contr_min"),
-        total(F.transform(by_src, lambda x: -(x / whole) * F.ln(x / whole))).alias("src_sc_entropy"),
+        share(by_src, lambda x: x < 0.1).alias("src_sum_contr_below_01"), mean(by_src).alias("src_sum_contr_mean"), F.array_min(by_src).alias("src_sum_contr_min"),
     )
 
 

@@ -14,6 +14,7 @@ from loomline.operators import dedup as D
 from loomline.operators import evaluation as E
 from loomline.operators import filters as FI
 from loomline.operators import mining as M
+from loomline.operators import records as R
 from loomline.operators import sampling as S
 from loomline.operators import segments as G
 from loomline.plans import pipelines as P
@@ -143,12 +144,12 @@ def q_json_field(spark, d):
     return table(spark, d, "events").select("event_id", F.get_json_object("props", "$.k").alias("k"), F.md5("props").alias("h"))
 
 
-@query("""SELECT doc_id, string_split(line, chr(9))[1] AS head, array_to_string(string_split(line, chr(9))[2:], chr(9)) AS rest
-FROM """ + _LINES + " WHERE contains(line, chr(9))")
+@query("""WITH x AS (SELECT doc_id, string_split(line, chr(9)) AS f, coalesce(source LIKE 'hollowcrawl%' OR source LIKE 'opencaps%', false) AS last FROM """ + _LINES + """ WHERE contains(line, chr(9)))
+SELECT doc_id, CASE WHEN last THEN f[-1] ELSE f[1] END AS head, array_to_string(CASE WHEN last THEN f[1:-2] ELSE f[2:] END, chr(9)) AS rest FROM x""")
 def q_meta_split(spark, d):
     from loomline.sources.readers import split_meta
 
-    x = _lines(spark, d).where(F.contains("line", F.lit("\t"))).select("doc_id", split_meta(F.col("line"), F.col("source")).alias("m"))
+    x = _lines(spark, d).where(F.contains("line", F.lit("\t"))).select("doc_id", split_meta(F.col("line"), F.coalesce("source", F.lit("")), last=("hollowcrawl", "opencaps")).alias("m"))
     return x.select("doc_id", F.col("m.text").alias("head"), F.col("m.meta").alias("rest"))
 
 
@@ -259,13 +260,13 @@ def q_score_window(spark, d):
 
 @query("""SELECT m.line_id, m.corpus FROM mining_lines m WHERE corpus IN (SELECT corpus FROM keep_targets WHERE keep_pct >= 50) AND lang_dir NOT IN ('eng_Latn-fra_Latn', 'fra_Latn-eng_Latn')""")
 def q_include_exclude(spark, d):
-    wanted = F.broadcast(table(spark, d, "keep_targets").where("keep_pct >= 50").select("corpus"))  # a fixed table
-    return table(spark, d, "mining_lines").join(wanted, "corpus", "left_semi").where(~F.col("lang_dir").isin("eng_Latn-fra_Latn", "fra_Latn-eng_Latn")).select("line_id", "corpus")
+    wanted = table(spark, d, "keep_targets").where("keep_pct >= 50").select("corpus")
+    return R.include_exclude(table(spark, d, "mining_lines"), "corpus", wanted, ["eng_Latn-fra_Latn", "fra_Latn-eng_Latn"], "lang_dir").select("line_id", "corpus")
 
 
 @query("""SELECT sent_id FROM test_input_de WHERE avg_sc BETWEEN 0.4 AND 0.7 AND min_sc BETWEEN 0.2 AND 0.5""")
 def q_box(spark, d):
-    return table(spark, d, "test_input_de").where("avg_sc BETWEEN 0.4 AND 0.7 AND min_sc BETWEEN 0.2 AND 0.5").select("sent_id")
+    return R.box(table(spark, d, "test_input_de"), avg_sc=(0.4, 0.7), min_sc=(0.2, 0.5)).select("sent_id")
 
 
 @query(r"""WITH t AS (SELECT line_id, len(list_filter(regexp_split_to_array(src, '[\t-\r ]+'), lambda w: w <> '')) AS a, len(list_filter(regexp_split_to_array(tgt, '[\t-\r ]+'), lambda w: w <> '')) AS b FROM train_lines WHERE src IS NOT NULL AND tgt IS NOT NULL)
@@ -396,8 +397,7 @@ def q_mine_intersection(spark, d):
 
 @query(_knn_sql("mean", "distance").replace("rn <= K", "rn <= 1").replace("margin >= 1.0", "margin >= 0.1") + "SELECT count(*) AS n, round(min(score), 6) AS low, round(max(score), 6) AS high, count(*) FILTER (WHERE score >= 0.3) AS above FROM f")
 def q_margin_stats(spark, d):
-    m = M.mine(M.neighbor_rows(table(spark, d, "neighbors")), threshold=0.1, kind="distance", mine_type="forward")
-    return m.agg(F.count(F.lit(1)).alias("n"), F.round(F.min("score"), 6).alias("low"), F.round(F.max("score"), 6).alias("high"), F.count_if(F.round("score", 9) >= 0.3).alias("above"))
+    return R.score_summary(M.mine(M.neighbor_rows(table(spark, d, "neighbors")), threshold=0.1, kind="distance", mine_type="forward"), "score", 0.3)
 
 
 @query(_knn_sql().replace("rn <= K", "rn <= 1") + "SELECT x_id, y_id, a.corpus AS x_corpus, a.line_no AS x_line_no, b.corpus AS y_corpus, b.line_no AS y_line_no FROM f JOIN sent_vectors a ON a.vec_id = x_id JOIN sent_vectors b ON b.vec_id = y_id")
@@ -498,9 +498,11 @@ def q_top_per_source(spark, d):
     return table(spark, d, "test_input_de").select("source", "avg_sc", "sent_id").distinct().withColumn("rn", F.row_number().over(w)).where("rn <= 3").drop("rn")
 
 
-@query("SELECT source, max_by(sent_id, avg_sc) IS NOT NULL AS found, max(avg_sc) AS best FROM test_input_de WHERE avg_sc IS NOT NULL GROUP BY source")
+@query("""WITH x AS (SELECT sent_id, source, mt, avg_sc FROM (SELECT *, row_number() OVER (PARTITION BY sent_id ORDER BY made_at DESC NULLS LAST, source DESC NULLS LAST, mt DESC NULLS LAST, avg_sc DESC NULLS LAST) AS rn FROM test_input_de) WHERE rn = 1 AND avg_sc IS NOT NULL)
+SELECT source, sent_id, mt, avg_sc AS best FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY avg_sc DESC, sent_id) AS k FROM x) WHERE k = 1""")
 def q_best_hypothesis(spark, d):
-    return table(spark, d, "test_input_de").where("avg_sc IS NOT NULL").groupBy("source").agg(F.max_by("sent_id", "avg_sc").isNotNull().alias("found"), F.max("avg_sc").alias("best"))
+    x = table(spark, d, "test_input_de").groupBy("sent_id").agg(F.max(F.struct("made_at", "source", "mt", "avg_sc")).alias("x")).select("sent_id", "x.*")
+    return R.best_hypothesis(x, "source", "avg_sc", "sent_id", "mt")
 
 
 # ---------------------------------------------------------------- aggregates
@@ -510,7 +512,8 @@ _COUNTERS = ("kept", "filtered", "extra_filtered", "script_filtered", "script_mi
 
 @query("SELECT source, lang, " + ", ".join(f"sum({c})::BIGINT AS {c}" for c in _COUNTERS) + " FROM (SELECT DISTINCT * FROM mono_results) GROUP BY source, lang")
 def q_mono_counters(spark, d):
-    return table(spark, d, "mono_results").distinct().groupBy("source", "lang").agg(*(F.sum(c).alias(c) for c in _COUNTERS))
+    own = table(spark, d, "mono_results").distinct()
+    return R.added([own.where("kept >= filtered"), own.where("kept < filtered OR kept IS NULL OR filtered IS NULL")], ["source", "lang"], list(_COUNTERS))
 
 
 @query("SELECT source, lang, avg(kept / sentences) AS mean, count(*) AS n FROM (SELECT DISTINCT * FROM mono_results WHERE sentences > 0) GROUP BY ROLLUP (source, lang)")
@@ -605,22 +608,18 @@ def q_mode(spark, d):
 
 @query("""SELECT source, count(*) AS n, avg(avg_sc) AS mean, median(avg_sc) AS median, count(*) FILTER (WHERE avg_sc > 0.7) / count(*) AS above FROM test_input_de WHERE avg_sc IS NOT NULL GROUP BY source""")
 def q_group_summary(spark, d):
-    x = table(spark, d, "test_input_de").where("avg_sc IS NOT NULL")
-    return x.groupBy("source").agg(F.count(F.lit(1)).alias("n"), F.avg("avg_sc").alias("mean"), F.median("avg_sc").alias("median"), (F.count_if(F.col("avg_sc") > 0.7) / F.count(F.lit(1))).alias("above"))
+    return R.group_summary(table(spark, d, "test_input_de"), "source", "avg_sc", 0.7)
 
 
 @query("""WITH q AS (SELECT quantile_cont(avg_sc, 0.9) AS t FROM test_input_de WHERE avg_sc IS NOT NULL)
 SELECT source, avg((avg_sc >= t)::INT) AS share, count(*) FILTER (WHERE avg_sc >= t) AS n FROM test_input_de, q WHERE avg_sc IS NOT NULL GROUP BY source""")
 def q_quantile_share(spark, d):
-    x = table(spark, d, "test_input_de").where("avg_sc IS NOT NULL").select("source", "avg_sc")
-    top = F.col("avg_sc") >= F.col("t")
-    return A.with_totals(x, x.agg(F.percentile("avg_sc", 0.9).alias("t"))).groupBy("source").agg(F.avg(top.cast("int")).alias("share"), F.count_if(top).alias("n"))
+    return R.share_above_quantile(table(spark, d, "test_input_de"), "source", "avg_sc", 0.9)
 
 
 @query("""WITH t AS (SELECT quantile_cont(avg_sc, 0.2) AS t FROM test_input_de WHERE min_sc < 0.4 AND avg_sc IS NOT NULL) SELECT avg((min_sc < 0.4)::INT) AS precision, count(*) AS n FROM test_input_de, t WHERE avg_sc >= t AND min_sc IS NOT NULL""")
 def q_precision_at_recall(spark, d):
-    x = table(spark, d, "test_input_de").where("avg_sc IS NOT NULL AND min_sc IS NOT NULL").select("avg_sc", (F.col("min_sc") < 0.4).alias("y"))
-    return A.with_totals(x, x.where("y").agg(F.percentile("avg_sc", 0.2).alias("t"))).where("avg_sc >= t").agg(F.avg(F.col("y").cast("int")).alias("precision"), F.count(F.lit(1)).alias("n"))
+    return R.precision_at_recall(table(spark, d, "test_input_de"), "avg_sc", F.col("min_sc") < 0.4, 0.8)
 
 
 @query("""SELECT mt_system, """ + ", ".join(f"count(*) FILTER (WHERE source = '{s}') / count(*) AS {s}" for s in ("hollowcrawl", "reedweb", "opencaps")) + """, count(*) AS n FROM test_input_de GROUP BY mt_system""")
@@ -655,8 +654,7 @@ def q_kappa(spark, d):
 
 @query("SELECT lang, sum(length(text))::BIGINT AS chars, (SELECT sum(length(text)) FROM documents WHERE lang = 'eng_Latn') / sum(length(text)) AS factor FROM documents WHERE text IS NOT NULL AND text <> '' GROUP BY lang")
 def q_length_factors(spark, d):
-    per = table(spark, d, "documents").where("text IS NOT NULL AND text <> ''").groupBy("lang").agg(F.sum(F.length("text")).alias("chars"))
-    return A.with_totals(per, per.where("lang = 'eng_Latn'").agg(F.sum("chars").alias("base"))).select("lang", "chars", (F.col("base") / F.col("chars")).alias("factor"))
+    return R.length_factors(table(spark, d, "documents"), "lang", "text", "eng_Latn")
 
 
 @query("""SELECT src_lang, tgt_lang, lang_dir, count(*) AS n FROM (SELECT lang_dir, split_part(lang_dir, '-', 1) AS src_lang, split_part(lang_dir, '-', 2) AS tgt_lang FROM train_lines) GROUP BY GROUPING SETS ((src_lang), (tgt_lang), (lang_dir))""")
@@ -678,15 +676,14 @@ def q_missing_corpora(spark, d):
 
 @query("SELECT corpus, count(*) AS total FROM mining_lines GROUP BY corpus HAVING count(*) FILTER (WHERE score >= 1.06 AND NOT isnan(score)) = 0")
 def q_empty_corpora(spark, d):
-    x = table(spark, d, "mining_lines").groupBy("corpus").agg(F.count(F.lit(1)).alias("total"), F.count_if((F.col("score") >= 1.06) & ~F.isnan("score")).alias("k"))
-    return x.where("k = 0").drop("k")
+    return R.without_any(table(spark, d, "mining_lines"), "corpus", (F.col("score") >= 1.06) & ~F.isnan("score"))
 
 
-@query("SELECT w AS word, sum(n)::BIGINT AS n FROM (SELECT unnest(regexp_extract_all(lower(src), '[a-z]+')) AS w, 1 AS n FROM train_lines UNION ALL SELECT unnest(regexp_extract_all(lower(tgt), '[a-z]+')), 1 FROM train_lines) GROUP BY w")
+@query("SELECT w AS word, sum(n)::BIGINT AS n FROM (SELECT unnest(regexp_extract_all(lower(src), '\\p{L}+')) AS w, 1 AS n FROM train_lines UNION ALL SELECT unnest(regexp_extract_all(lower(tgt), '\\p{L}+')), 1 FROM train_lines) GROUP BY w")
 def q_vocabulary(spark, d):
     t = table(spark, d, "train_lines")
-    words = lambda c: t.select(F.explode(F.regexp_extract_all(F.lower(c), F.lit("[a-z]+"), F.lit(0))).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-    return words("src").unionByName(words("tgt")).groupBy("word").agg(F.sum("n").alias("n"))
+    words = lambda c: t.select(F.explode(F.regexp_extract_all(F.lower(c), F.lit(r"\p{L}+"), F.lit(0))).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    return R.added([words("src"), words("tgt")], ["word"], ["n"])
 
 
 # ---------------------------------------------------------------- segments, evaluation, streams
@@ -716,18 +713,19 @@ def q_file_stats(spark, d):
     return G.file_stats(x, "corpus", "ok", "len")
 
 
-@query("""WITH p AS (SELECT DISTINCT e.lang_dir AS g, e.line_id AS i, string_split(e.src, ' ') AS h, string_split(e.tgt, ' ') AS r FROM eval_lines e WHERE e.src IS NOT NULL AND e.tgt IS NOT NULL),
+@query("""WITH p AS (SELECT source AS g, sent_id AS i, string_split(replace(min(mt), ' the ', ' '), ' ') AS h, string_split(min(mt), ' ') AS r FROM test_input_de WHERE mt IS NOT NULL AND mt <> '' AND source IS NOT NULL GROUP BY source, sent_id),
 l AS (SELECT g, sum(len(h)) AS hl, sum(len(r)) AS rl FROM p GROUP BY g),
-n AS (SELECT 1 AS n),
+n AS (SELECT unnest([1, 2, 3, 4]) AS n),
 h AS (SELECT g, i, n, unnest(list_transform(generate_series(1, len(h) - n + 1), lambda k: array_to_string(h[k:k + n - 1], ' '))) AS x FROM p, n WHERE len(h) >= n),
 r AS (SELECT g, i, n, unnest(list_transform(generate_series(1, len(r) - n + 1), lambda k: array_to_string(r[k:k + n - 1], ' '))) AS x FROM p, n WHERE len(r) >= n),
 ch AS (SELECT g, i, n, x, count(*) AS c FROM h GROUP BY ALL), cr AS (SELECT g, i, n, x, count(*) AS c FROM r GROUP BY ALL),
 m AS (SELECT g, n, sum(least(ch.c, coalesce(cr.c, 0))) AS hit, sum(ch.c) AS t FROM ch LEFT JOIN cr USING (g, i, n, x) GROUP BY g, n),
 s AS (SELECT g, sum(ln(hit / t)) FILTER (WHERE hit > 0) AS logs, count(*) FILTER (WHERE hit > 0) AS f FROM m GROUP BY g)
-SELECT l.g AS lang_dir, hl::BIGINT AS hyp_len, rl::BIGINT AS ref_len, CASE WHEN f = 1 THEN 100 * CASE WHEN hl >= rl THEN 1 ELSE exp(1 - rl / hl) END * exp(logs) ELSE 0 END AS bleu FROM l JOIN s ON l.g = s.g""")
+SELECT l.g AS source, hl::BIGINT AS hyp_len, rl::BIGINT AS ref_len, CASE WHEN f = 4 THEN 100 * CASE WHEN hl >= rl THEN 1 ELSE exp(1 - rl / hl) END * exp(logs / 4) ELSE 0 END AS bleu FROM l JOIN s ON l.g = s.g""")
 def q_bleu(spark, d):
-    x = table(spark, d, "eval_lines").where("src IS NOT NULL AND tgt IS NOT NULL").select("lang_dir", "line_id", "src", "tgt").distinct()
-    return E.bleu(x, "lang_dir", "line_id", "src", "tgt", most=1)  # sides of two languages share single words only
+    """Up to four words: the translations of a source with their articles left out, against the whole ones."""
+    x = table(spark, d, "test_input_de").where("mt IS NOT NULL AND mt <> '' AND source IS NOT NULL").groupBy("source", "sent_id").agg(F.min("mt").alias("r"))
+    return E.bleu(x.select("source", "sent_id", F.replace("r", F.lit(" the "), F.lit(" ")).alias("h"), "r"), "source", "sent_id", "h", "r")
 
 
 @query("""WITH x AS (SELECT DISTINCT ON (src_id, direction) src_id, indices AS f, indices[1:3] AS s, indices[1:4] AS p FROM neighbors ORDER BY src_id, direction),
@@ -754,11 +752,10 @@ def q_embed(spark, d):
 
 @query("SELECT user_id, event_type, min(ts) AS first_ts FROM events GROUP BY user_id, event_type")
 def q_stream_first_seen(spark, d):
-    from loomline.streaming.incremental import first_seen, run_once, stream_of
+    from loomline.streaming.incremental import first_times, run_once, stream_of
 
-    seen = run_once(spark, first_seen(stream_of(spark, d, "events").select("user_id", "event_type", "ts"), ["user_id", "event_type"], "ts", "3650 days"))
-    # within a micro-batch any row of a key may be the one that passes; its first time is in the table
-    return seen.select("user_id", "event_type").distinct().join(table(spark, d, "events").groupBy("user_id", "event_type").agg(F.min("ts").alias("first_ts")), ["user_id", "event_type"])
+    seen = run_once(spark, first_times(stream_of(spark, d, "events"), ["user_id", "event_type"], "ts"), "complete")
+    return seen.withColumn("first_ts", F.col("first_ts").cast("timestamp_ntz"))
 
 
 @query("SELECT date_trunc('day', ts) AS start, event_type, count(*) AS n FROM events GROUP BY 1, 2")
@@ -780,33 +777,30 @@ def q_round_bins(spark, d):
 @query("SELECT sent_id, CASE WHEN mt IS NULL OR mt = '' THEN 'missing' WHEN mt = src THEN 'untranslated' WHEN min_sc < 0.3 THEN 'detached' WHEN length(mt) * 3 < length(src) THEN 'cut' ELSE 'none' END AS error FROM test_input_de")
 def q_severity(spark, d):
     c = F.col
-    worst = F.when(c("mt").isNull() | (c("mt") == ""), "missing").when(c("mt") == c("src"), "untranslated").when(c("min_sc") < 0.3, "detached").when(F.length("mt") * 3 < F.length("src"), "cut").otherwise("none")
+    worst = R.most_severe(("missing", c("mt").isNull() | (c("mt") == "")), ("untranslated", c("mt") == c("src")), ("detached", c("min_sc") < 0.3), ("cut", F.length("mt") * 3 < F.length("src")))
     return table(spark, d, "test_input_de").select("sent_id", worst.alias("error"))
 
 
 @query("SELECT sent_id, greatest(avg_sc, min_sc) AS top, 1 - min_sc AS rest FROM test_input_de")
 def q_row_max(spark, d):
-    return table(spark, d, "test_input_de").select("sent_id", F.greatest("avg_sc", "min_sc").alias("top"), (1 - F.col("min_sc")).alias("rest"))
+    return table(spark, d, "test_input_de").select("sent_id", R.row_max("avg_sc", "min_sc").alias("top"), R.complement("min_sc").alias("rest"))
 
 
 @query("SELECT sent_id FROM test_input_de WHERE source IN ('letters', 'forumq', 'helpdesk') AND mt_system IN ('oldphrase', 'nimbus-s') AND NOT coalesce(mt ILIKE '%you%', false)")
 def q_high_risk(spark, d):
-    x = table(spark, d, "test_input_de").where(F.col("source").isin("letters", "forumq", "helpdesk") & F.col("mt_system").isin("oldphrase", "nimbus-s"))
-    return x.where(~F.coalesce(F.lower("mt").contains("you"), F.lit(False))).select("sent_id")
+    groups = {"source": ["letters", "forumq", "helpdesk"], "mt_system": ["oldphrase", "nimbus-s"]}
+    return R.risky(table(spark, d, "test_input_de"), groups, "mt", "you").select("sent_id")
 
 
 @query("""WITH x AS (SELECT DISTINCT line_id, string_split(src, ', ') AS a, string_split(tgt, ', ') AS b FROM train_lines WHERE src IS NOT NULL AND tgt IS NOT NULL),
 y AS (SELECT line_id, a, b, unnest(generate_series(1, least(len(a), len(b)))) AS i FROM x) SELECT line_id, i - 1 AS n, a[i] AS src, b[i] AS tgt FROM y""")
 def q_zip_parts(spark, d):
-    x = table(spark, d, "train_lines").where("src IS NOT NULL AND tgt IS NOT NULL").select("line_id", F.split("src", ", ").alias("a"), F.split("tgt", ", ").alias("b")).distinct()
-    n = F.least(F.size("a"), F.size("b"))
-    return x.select("line_id", F.posexplode(F.arrays_zip(F.slice("a", F.lit(1), n).alias("src"), F.slice("b", F.lit(1), n).alias("tgt"))).alias("n", "p")).select("line_id", F.col("n").cast("long").alias("n"), "p.src", "p.tgt")
+    return R.zip_parts(table(spark, d, "train_lines").select("line_id", "src", "tgt").distinct(), "line_id", "src", "tgt", ", ")
 
 
 @query("SELECT coalesce(a.corpus, b.corpus) AS corpus, a.n AS train, b.n AS mined FROM (SELECT corpus, count(*) AS n FROM train_lines GROUP BY corpus) a FULL JOIN (SELECT corpus, count(*) AS n FROM mining_lines GROUP BY corpus) b ON a.corpus = b.corpus")
 def q_outer_counts(spark, d):
-    per = lambda t, n: table(spark, d, t).groupBy("corpus").agg(F.count(F.lit(1)).alias(n))
-    return per("train_lines", "train").join(per("mining_lines", "mined"), "corpus", "full_outer")
+    return R.outer_counts({"train": table(spark, d, "train_lines"), "mined": table(spark, d, "mining_lines")}, "corpus")
 
 
 @query("""WITH k AS (SELECT line_id, fold, array_to_string(list_sort(string_split(lang_dir, '-')), '-') AS k FROM eval_lines), j AS (SELECT job_id, array_to_string(list_sort(string_split(lang_dir, '-')), '-') AS k FROM dedup_sharding_jobs)
@@ -861,12 +855,12 @@ def q_direction_sizes(spark, d):
 
 @query("SELECT corpus, count(src) AS src_lines, count(tgt) AS tgt_lines, count(metadata) AS meta_lines, count(src) = count(tgt) AS aligned FROM train_lines GROUP BY corpus")
 def q_validate(spark, d):
-    return table(spark, d, "train_lines").groupBy("corpus").agg(F.count("src").alias("src_lines"), F.count("tgt").alias("tgt_lines"), F.count("metadata").alias("meta_lines"), (F.count("src") == F.count("tgt")).alias("aligned"))
+    return R.validated(table(spark, d, "train_lines"), "corpus", "src", "tgt", "metadata")
 
 
 @query("SELECT lang, count(*) AS n, ceil(count(*) / 50)::BIGINT AS splits FROM sent_vectors GROUP BY lang")
 def q_split_languages(spark, d):
-    return table(spark, d, "sent_vectors").groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.ceil(F.count(F.lit(1)) / 50).cast("long").alias("splits"))
+    return R.splits_of(table(spark, d, "sent_vectors"), "lang", 50)
 
 
 @query("SELECT vec_id, corpus FROM (SELECT vec_id, corpus, row_number() OVER (PARTITION BY corpus ORDER BY md5(vec_id || ':7'), vec_id) AS rn FROM sent_vectors) WHERE rn <= 3")
@@ -876,8 +870,7 @@ def q_sample_vectors(spark, d):
 
 @query("SELECT line_id FROM train_lines WHERE lang_dir NOT IN (SELECT lang_dir FROM dedup_sharding_jobs)")
 def q_excluded_directions(spark, d):
-    listed = F.broadcast(table(spark, d, "dedup_sharding_jobs").select("lang_dir"))  # a fixed table
-    return table(spark, d, "train_lines").where("lang_dir IS NOT NULL").join(listed, "lang_dir", "left_anti").select("line_id")
+    return R.outside(table(spark, d, "train_lines"), "lang_dir", table(spark, d, "dedup_sharding_jobs").select("lang_dir")).select("line_id")
 
 
 @query("""WITH l AS (SELECT DISTINCT ON (src_id) src_id, indices FROM neighbors ORDER BY src_id, direction), p AS (SELECT a.src_id AS a, b.src_id AS b, a.indices AS x, b.indices AS y FROM l a JOIN l b ON b.src_id = a.indices[1])
@@ -904,13 +897,12 @@ def q_split_means(spark, d):
 
 @query("SELECT mt_system, avg(avg_sc) AS avg_sc, avg(min_sc) AS min_sc, (avg(avg_sc) + avg(min_sc)) / 2 AS row_mean FROM test_input_de GROUP BY mt_system")
 def q_class_means(spark, d):
-    x = table(spark, d, "test_input_de").groupBy("mt_system").agg(F.avg("avg_sc").alias("avg_sc"), F.avg("min_sc").alias("min_sc"))
-    return x.withColumn("row_mean", (F.col("avg_sc") + F.col("min_sc")) / 2)
+    return R.class_means(table(spark, d, "test_input_de"), "mt_system", ["avg_sc", "min_sc"])
 
 
 @query("SELECT source, n FROM (SELECT source, count(*) AS n FROM test_input_de GROUP BY source) ORDER BY n DESC, source LIMIT 5")
 def q_top_groups(spark, d):
-    return table(spark, d, "test_input_de").groupBy("source").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "source").limit(5)
+    return R.top_groups(table(spark, d, "test_input_de"), "source", 5)
 
 
 @query("SELECT source, min(doc_id) AS doc_id, arg_min(lang, doc_id) AS lang FROM documents WHERE lang IS NOT NULL GROUP BY source")
@@ -979,3 +971,6 @@ def q_global_mining(spark, d):
 @query()
 def q_prepare_data(spark, d):
     return P.prepare_data(table(spark, d, "train_lines"), table(spark, d, "eval_lines"))
+
+
+from loomline.plans import more_queries as _more  # noqa: E402, F401  registers its queries

@@ -68,3 +68,33 @@ def checked(df: DataFrame, **conditions: Column) -> DataFrame:
     for name, c in conditions.items():
         df = df.where(F.when(F.coalesce(c, F.lit(True)), F.lit(True)).otherwise(F.raise_error(F.lit(f"condition {name} is broken")).cast("boolean")))
     return df
+
+
+def composed(*steps: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame], DataFrame]:
+    """Several steps as one: pre-processing and encoding, for instance."""
+
+    def run(df: DataFrame) -> DataFrame:
+        for f in steps:
+            df = f(df)
+        return df
+
+    return run
+
+
+def staged(spark, name: str, version: str, config: dict, build: Callable[[], DataFrame], valid: Callable[[DataFrame], bool] | None = None) -> DataFrame:
+    """The result of a step, kept in the shared scratch folder under a key of its name, version and configuration, and read back
+    instead of built if it is there, was written to the end and is valid. Makes a pipeline resumable stage by stage."""
+    import hashlib
+    import json
+
+    from loomline.session import scratch_dir
+
+    key = hashlib.sha256(json.dumps([name, version, config], sort_keys=True, default=str).encode()).hexdigest()
+    path = f"{scratch_dir(spark)}/stage-{name}-{key}"
+    done = spark._jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")
+    if done.getFileSystem(spark._jsc.hadoopConfiguration()).exists(done):
+        df = spark.read.parquet(path)
+        if valid is None or valid(df):
+            return df
+    build().write.mode("overwrite").option("compression", "zstd").parquet(path)
+    return spark.read.parquet(path)

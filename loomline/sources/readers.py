@@ -129,3 +129,30 @@ def lookup_language(df: DataFrame, lang: str, table: DataFrame, source: str, tar
     """df with `target` of a fixed equivalence table; a language without an entry stands for itself."""
     small = F.broadcast(table.select(F.col(source).alias("__k"), F.col(target).alias("__v")).dropDuplicates(["__k"]))
     return df.join(small, df[lang] == small["__k"], "left").withColumn(target, F.coalesce("__v", lang)).drop("__k", "__v")
+
+
+#: Script of languages by the beginning of their codes; the first that fits counts.
+LANGUAGE_SCRIPTS = {
+    "rus": "Cyrl", "ukr": "Cyrl", "bul": "Cyrl", "ell": "Grek", "heb": "Hebr", "arb": "Arab", "hin": "Deva", "ben": "Beng", "tha": "Thai", "kor": "Hang", "jpn": "Jpan", "zho": "Hans",
+    "eng": "Latn", "fra": "Latn", "deu": "Latn", "spa": "Latn", "ita": "Latn", "por": "Latn", "nld": "Latn",
+}
+
+
+def language_script(lang: Column, scripts: dict[str, str] | None = None) -> Column:
+    """Script of a language: what its code names after an underscore, else that of the first table entry it begins with; null if none fits."""
+    named = F.regexp_extract(lang, r"_([A-Z][a-z]{3})$", 1)
+    found = F.coalesce(*(F.when(lang.startswith(k), F.lit(v)) for k, v in (scripts or LANGUAGE_SCRIPTS).items()))
+    return F.when(named != "", named).otherwise(found)
+
+
+def split_at(df: DataFrame, line: str, k: int, sep: str = "\t") -> DataFrame:
+    """df with meta (the first k fields, joined) and text (the field after them); rows with fewer than two fields, or
+    without the text field, are dropped."""
+    parts = F.split(line, sep)
+    out = df.withColumn("__p", parts).where((F.size("__p") >= 2) & (F.size("__p") > k))
+    return out.withColumn("meta", F.array_join(F.slice("__p", 1, max(k, 1)), sep) if k else F.lit("")).withColumn("text", F.get("__p", F.lit(k))).drop("__p")
+
+
+def skip_header(df: DataFrame, rows: int = 1) -> DataFrame:
+    """(line_no, text) of read_lines() without the first lines of each file, numbered from 0 after them."""
+    return df.where(F.col("line_no") >= rows).withColumn("line_no", F.col("line_no") - rows)

@@ -20,6 +20,11 @@ def first_seen(stream: DataFrame, keys: list[str], time: str, delay: str = "1 ho
     return _timed(stream, time).withWatermark(time, delay).dropDuplicatesWithinWatermark(keys)
 
 
+def first_times(stream: DataFrame, keys: list[str], time: str) -> DataFrame:
+    """The first time of each key as the stream has it so far; for the complete mode, with one row of state a key."""
+    return _timed(stream, time).groupBy(*keys).agg(F.min(time).alias(f"first_{time}"))
+
+
 def windowed_counts(stream: DataFrame, time: str, key: str, width: str = "1 day", delay: str = "1 day") -> DataFrame:
     """Counts per key in tumbling windows; late rows within the delay are counted."""
     return _timed(stream, time).withWatermark(time, delay).groupBy(F.window(time, width).alias("w"), key).agg(F.count(F.lit(1)).alias("n")).select(F.col("w.start").alias("start"), key, "n")
