@@ -14,33 +14,53 @@ from loomline.operators import mining as M
 from loomline.operators import sampling as S
 from loomline.operators import segments as G
 
-X2Y = ([[0.2, 0.3, 0.6], [0.7, 0.2, 0.4], [0.1, 0.0, 1.0]], [[0, 1, 2], [1, 2, 0], [0, 2, 1]])
-Y2X = ([[0.8, 0.3, 0.1], [0.7, 0.2, 0.9], [0.1, 0.0, 1.0]], [[1, 2, 0], [0, 2, 1], [0, 1, 2]])
+# distances and ids of two nearest lists in each direction, four vectors a side
+X2Y = ([[0.1, 0.5], [0.4, 0.45], [0.2, 0.9], [0.3, 0.35]], [[3, 0], [1, 2], [0, 1], [2, 3]])
+Y2X = ([[0.25, 0.6], [0.15, 0.8], [0.3, 0.7], [0.05, 0.55]], [[2, 0], [1, 3], [3, 1], [0, 3]])
 
 
 @pytest.fixture(scope="module")
 def neighbors(spark):
-    rows = [(10 + i, "x2y", r, 20 + t, float(d)) for i, (ds, ts) in enumerate(zip(*X2Y)) for r, (d, t) in enumerate(zip(ds, ts))]
-    rows += [(20 + i, "y2x", r, 10 + t, float(d)) for i, (ds, ts) in enumerate(zip(*Y2X)) for r, (d, t) in enumerate(zip(ds, ts))]
+    rows = [(10 + i, "x2y", r, 20 + t, float(d)) for i, (ds, ts) in enumerate(zip(*X2Y, strict=True)) for r, (d, t) in enumerate(zip(ds, ts, strict=True))]
+    rows += [(20 + i, "y2x", r, 10 + t, float(d)) for i, (ds, ts) in enumerate(zip(*Y2X, strict=True)) for r, (d, t) in enumerate(zip(ds, ts, strict=True))]
     return spark.createDataFrame(rows, "src_id long, direction string, rank int, tgt_id long, dist double")
 
 
-def pairs(df):
-    return [(r.x_id - 10, r.y_id - 20) for r in df.orderBy(F.desc("score")).collect()]
+def model_margins(own, other):
+    """Similarity 2 - d of a pair over the mean similarity of both sides' lists, one line after the other."""
+    mean = lambda ds: sum(2 - d for d in ds) / len(ds)
+    return {(i, t): (2 - d) / ((mean(own[0][i]) + mean(other[0][t])) / 2) for i in range(4) for d, t in zip(own[0][i], own[1][i], strict=True)}
+
+
+def model_mined(threshold, k, kind):
+    def best(own, other):
+        m = model_margins(own, other)
+        out = []
+        for i in range(4):
+            top = sorted(((v, t) for (j, t), v in m.items() if i == j), reverse=True)[:k]
+            out += [(v, i, t) for v, t in top if v >= threshold]
+        return out
+
+    f, g = best(X2Y, Y2X), [(v, t, i) for v, i, t in best(Y2X, X2Y)]
+    both = {x[1:] for x in f} & {x[1:] for x in g}
+    return {"forward": f, "backward": g, "union": f + g, "intersection": [x for x in f if x[1:] in both]}[kind]
+
+
+def mined(df):
+    return sorted((r.x_id - 10, r.y_id - 20) for r in df.collect())
 
 
 def test_margins(neighbors):
-    got = {(r.src_id, r.rank): r.margin for r in M.margins(neighbors).collect()}
-    want = [[1.11340206, 1.12087912, 0.85714286], [0.87640449, 1.125, 1.01052632], [1.17525773, 1.2244898, 0.65934066]]
-    assert all(abs(got[10 + i, r] - want[i][r]) < 1e-7 for i in range(3) for r in range(3))
+    got = {(r.src_id - 10, r.tgt_id - 20): r.margin for r in M.margins(neighbors).where("direction = 'x2y'").collect()}
+    want = model_margins(X2Y, Y2X)
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-7 for k in want)
 
 
-def test_mining(neighbors):
-    assert pairs(M.mine(neighbors, 1.04, mine_type="forward")) == [(2, 2), (1, 2), (0, 1)]
-    assert pairs(M.mine(neighbors, 1.04, mine_type="backward")) == [(1, 2), (2, 1), (0, 0)]
-    assert sorted(pairs(M.mine(neighbors, 1.04))) == sorted([(1, 2), (2, 2), (2, 1), (0, 0), (1, 2), (0, 1)])
-    assert pairs(M.mine(neighbors, 1.04, k_extract=2, mine_type="forward")) == [(2, 2), (2, 0), (1, 2), (0, 1), (0, 0)]
-    assert pairs(M.mine(neighbors, 1.04, mine_type="intersection")) == [(1, 2)]
+@pytest.mark.parametrize("kind", ["forward", "backward", "union", "intersection"])
+@pytest.mark.parametrize("k", [1, 2])
+def test_mining(neighbors, kind, k):
+    for threshold in (0.9, 1.05):
+        assert mined(M.mine(neighbors, threshold, k_extract=k, mine_type=kind)) == sorted(x[1:] for x in model_mined(threshold, k, kind))
 
 
 def test_neighbor_search(spark):

@@ -21,8 +21,8 @@ def test_lines_of_any_compression(spark, tmp_path):
 
 
 def test_mined_and_parallel(spark, tmp_path):
-    (tmp_path / "m.tsv").write_text('1.9999999\taaa \t"AAA\n1.2495081\tbbb\tBBB\n')
-    assert [tuple(r) for r in readers.read_mined(spark, str(tmp_path / "m.tsv")).collect()] == [(1.9999999, "aaa", '"AAA'), (1.2495081, "bbb", "BBB")]
+    (tmp_path / "m.tsv").write_text('1.75\tred door \t"rote Tür\n1.125\tcold\tkalt\n')
+    assert [tuple(r) for r in readers.read_mined(spark, str(tmp_path / "m.tsv")).collect()] == [(1.75, "red door", '"rote Tür'), (1.125, "cold", "kalt")]
     (tmp_path / "s").write_text("a\nb\nc\n")
     (tmp_path / "t").write_text("A\nB\n")
     (tmp_path / "meta").write_text("m\n")
