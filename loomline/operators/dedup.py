@@ -41,17 +41,21 @@ def held_out(train: DataFrame, evals: DataFrame, src: str, tgt: str, norm, mode:
     all non-empty rows, evaluation before training, whether or not another side drops them. Evaluation rows
     hold for a direction and its reverse.
     """
-    own = train.select(*scope, F.col(id_col).alias("id"), norm(F.col(src)).alias("a"), norm(F.col(tgt)).alias("b")).where("a <> '' AND b <> ''")
-    e = evals.select(*scope, norm(F.col(src)).alias("a"), norm(F.col(tgt)).alias("b")).where("a <> '' AND b <> ''")
+    # normalised once, and from there on digests instead of texts
+    def digests(df: DataFrame, label: str, *more: Column) -> DataFrame:
+        x = df.select(*scope, *more, norm(F.col(src)).alias("a"), norm(F.col(tgt)).alias("b")).where("a <> '' AND b <> ''")
+        return written(x.select(*scope, *(["id"] if more else []), F.md5("a").alias("a"), F.md5("b").alias("b")), label)
+
+    own, e = digests(train, "held-train", F.col(id_col).alias("id")), digests(evals, "held-eval")
     if "lang_dir" in scope:
         turned = e.select(*[F.regexp_replace("lang_dir", r"^(.*)-(.*)$", "$2-$1").alias("lang_dir") if c == "lang_dir" else c for c in scope], F.col("b").alias("a"), F.col("a").alias("b"))
         e = e.unionByName(turned)
-    keep = own
+    keep = own.select("id", *scope)
     for cols in [["a", "b"], *([["a"]] if mode in ("src", "both") else []), *([["b"]] if mode in ("tgt", "both") else [])]:
         keys = [*scope, *cols]
         firsts = own.groupBy(*keys).agg(F.min("id").alias("id")).join(e.select(*keys).distinct(), keys, "left_anti")
         keep = keep.join(firsts.select("id"), "id", "left_semi")
-    return keep.select("id", *scope)
+    return keep
 
 
 def sort_unique(df: DataFrame, text: str, order: list[str]) -> DataFrame:
@@ -72,6 +76,9 @@ def _signatures(perms: int, bands: int, rows: int, order: int, seed: int):
         r = np.random.default_rng(seed)
         a, b = r.integers(1, _PRIME, perms, dtype=np.int64), r.integers(0, _PRIME, perms, dtype=np.int64)
         power = np.array([pow(1_000_003, k, _PRIME) for k in range(order)], dtype=np.int64)
+        # a band's key is a random linear form of its minima, in 64 bits
+        mix = r.integers(1 << 62, size=(1, rows), dtype=np.int64) * 2 + 1
+        salt = r.integers(1 << 62, size=bands, dtype=np.int64)
         for batch in batches:
             ids, keys = [], []
             for i, t in zip(batch.column("id").to_pylist(), batch.column("t").to_pylist(), strict=True):
@@ -86,10 +93,9 @@ def _signatures(perms: int, bands: int, rows: int, order: int, seed: int):
                 sig = np.full(perms, _PRIME, np.int64)
                 for lo in range(0, len(h), 4_096):
                     sig = np.minimum(sig, ((a[:, None] * h[None, lo : lo + 4_096] + b[:, None]) % _PRIME).min(1))
-                for band in range(bands):
-                    ids.append(i)
-                    keys.append(f"{band}:" + sig[band * rows : (band + 1) * rows].tobytes().hex())
-            yield pa.record_batch([pa.array(ids, batch.schema.field("id").type), pa.array(keys, pa.string())], names=["id", "bucket"])
+                ids += [i] * bands
+                keys.append((sig[: bands * rows].reshape(bands, rows) * mix).sum(1) + salt)  # modulo 2**64
+            yield pa.record_batch([pa.array(ids, batch.schema.field("id").type), pa.array(np.concatenate(keys) if keys else np.empty(0, np.int64))], names=["id", "bucket"])
 
     return run
 
@@ -128,7 +134,7 @@ def near_duplicates(df: DataFrame, id_col: str, text: Column, perms: int = 100,
     own = df.select(F.col(id_col).alias("id"), text.alias("t")).withColumn("k", F.md5("t"))
     own = written(own.select("id", "k", "t"), "lsh-texts")
     reps = own.where("t <> ''").groupBy("k").agg(F.max("id").alias("id"), F.max("t").alias("t"))
-    buckets = written(reps.select("id", "t").mapInArrow(_signatures(perms, bands, rows, order, seed), f"id {kind}, bucket string"), "lsh-buckets")
+    buckets = written(reps.select("id", "t").mapInArrow(_signatures(perms, bands, rows, order, seed), f"id {kind}, bucket long"), "lsh-buckets")
     tops = buckets.groupBy("bucket").agg(F.max("id").alias("top"))
     links = skew_join(buckets, tops, ["bucket"]).where("id < top").select(F.col("id").alias("a"), F.col("top").alias("b"))
     links = written(links.distinct(), "lsh-links")

@@ -18,6 +18,10 @@ def index_kind(rows: int) -> str:
     return "exact" if rows <= 10_000 else "cells"
 
 
+#: Cells a query looks into.
+PROBES = 32
+
+
 def neighbor_rows(lists: DataFrame) -> DataFrame:
     """(src_id, direction, rank, tgt_id, dist) of neighbour lists; repeated lists count once, entries of -1 are none."""
     flat = lists.select("src_id", "direction", "indices", "dists").dropDuplicates(["src_id", "direction"])
@@ -142,11 +146,12 @@ def cell_neighbors(queries: DataFrame, index: DataFrame, dim: int, k: int = 5, c
     """As exact_neighbors, but a query looks only into the `probes` cells whose centres are nearest to it.
 
     Every row of the index is in a cell. A large cell is cut into parts of about part_rows rows, which its
-    queries all visit, so no cell has to fit in a task.
+    queries all visit, so no cell has to fit in a task. probes is a fixed number, so a query's work grows with the root
+    of the index (rows of a cell), not with the index.
     """
     n = index.count()
     cells = cells or max(1, int(np.sqrt(n)))
-    probes = probes or max(1, cells // 4)
+    probes = probes or PROBES
     centres = fit_cells(index, dim, cells)
     x = written(index.select("id", "vec").mapInArrow(_assign(centres, dim, 1), "id long, vec array<float>, cell int"), "cells")
     q = queries.select("id", "vec").mapInArrow(_assign(centres, dim, probes), "id long, vec array<float>, cell int")

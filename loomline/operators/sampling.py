@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from loomline.session import maybe_broadcast
+
 
 def md5_order(*cols: str, seed: int = 0) -> Column:
     """A pseudo-random order that any engine with md5 can repeat."""
@@ -16,10 +18,27 @@ def md5_bucket(n: Column | int, *cols: str, seed: int = 0) -> Column:
     return F.pmod(F.conv(F.substring(md5_order(*cols, seed=seed), 1, 8), 16, 10).cast("long"), n if isinstance(n, Column) else F.lit(n))
 
 
+def _first_by_hash(df: DataFrame, group: str, id_col: str, quota: DataFrame, seed: int) -> DataFrame:
+    """The rows with the least hashes of each group, as many as quota (group, quota) says, without ranking whole groups: a histogram of
+    4,096 hash ranges per group tells up to which range rows are kept, and only the rows of that range are ranked. Exact. A null group
+    is one; groups without a quota fall out."""
+    bucket = F.conv(F.substring(md5_order(id_col, seed=seed), 1, 3), 16, 10).cast("int")
+    hist = df.groupBy(F.col(group).alias("__g"), bucket.alias("__b")).agg(F.count(F.lit(1)).alias("__n"))
+    upto = F.sum("__n").over(Window.partitionBy("__g").orderBy("__b"))  # at most 4,096 rows a group
+    hist = hist.withColumn("__upto", upto).join(quota.select(F.col(group).alias("__q"), "quota"), F.col("__g").eqNullSafe(F.col("__q")))
+    edge = F.min(F.when(F.col("__upto") >= F.col("quota"), F.struct(F.col("__b").alias("b"), (F.col("__upto") - F.col("__n")).alias("n"))))
+    cuts = hist.groupBy("__g").agg(edge.alias("__e"), F.max("quota").alias("__quota")).where("__quota > 0")
+    cuts = maybe_broadcast(cuts.select("__g", F.coalesce("__e.b", F.lit(4_096)).alias("__cut"), (F.col("__quota") - F.coalesce("__e.n", F.lit(0))).alias("__left")))
+    own = df.withColumn("__b", bucket).join(cuts, F.col(group).eqNullSafe(F.col("__g")))
+    w = Window.partitionBy("__g").orderBy(md5_order(id_col, seed=seed), id_col)
+    edge_rows = own.where("__b = __cut").withColumn("__rn", F.row_number().over(w)).where("__rn <= __left")
+    return own.where("__b < __cut").select(*df.columns).unionByName(edge_rows.select(*df.columns))
+
+
 def sample_per_group(df: DataFrame, group: str, id_col: str, n: Column | int, seed: int = 0) -> DataFrame:
-    """n rows of each group (all if it has fewer), the same ones on every run."""
-    w = Window.partitionBy(group).orderBy(md5_order(id_col, seed=seed), id_col)
-    return df.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= n).drop("__rn")
+    """n rows of each group (all if it has fewer), the same ones on every run. n may be a column that is one value within a group."""
+    quota = df.groupBy(group).agg((F.max(n) if isinstance(n, Column) else F.lit(n)).cast("long").alias("quota"))
+    return _first_by_hash(df, group, id_col, quota, seed)
 
 
 def temperature_quota(counts: DataFrame, group: str, n: str, budget: int, temperature: float) -> DataFrame:
@@ -31,10 +50,7 @@ def temperature_quota(counts: DataFrame, group: str, n: str, budget: int, temper
 
 def temperature_sample(df: DataFrame, group: str, id_col: str, budget: int, temperature: float, seed: int = 0) -> DataFrame:
     counts = df.groupBy(group).agg(F.count(F.lit(1)).alias("n"))
-    quota = temperature_quota(counts, group, "n", budget, temperature).select(F.col(group).alias("__g"), "quota")
-    w = Window.partitionBy(group).orderBy(md5_order(id_col, seed=seed), id_col)
-    ranked = df.withColumn("__rn", F.row_number().over(w))
-    return ranked.join(quota, ranked[group].eqNullSafe(quota["__g"])).where(F.col("__rn") <= F.col("quota")).drop("__rn", "quota", "__g")
+    return _first_by_hash(df, group, id_col, temperature_quota(counts, group, "n", budget, temperature).select(group, "quota"), seed)
 
 
 def shard_count(n_direction: Column, n_all: Column, smallest: int = 250_000, largest: int = 5_000_000) -> Column:

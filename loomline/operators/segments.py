@@ -2,46 +2,70 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomline.functions.vector import overlap
 from loomline.operators.analytics import with_totals
 
 
 def drop_overlaps(df: DataFrame, path: str, start: str, end: str, factor: str, score: str, id_col: str, most: float = 0.2, method: str = "fraction") -> DataFrame:
     """Segments of each path by start; one that overlaps the last kept by more than `most` replaces it if its score is
-    higher, else falls out. A fold over the sorted segments of a path. Rows with a null in these columns fall out.
+    higher, else falls out. A pass over the segments sorted by path and start that holds one segment at a time. Rows with a null
+    in these columns fall out.
     """
-    item = F.struct(F.col(start).cast("double").alias("s"), F.col(end).cast("double").alias("e"), F.col(id_col).cast("long").alias("id"), F.col(factor).cast("double").alias("f"), F.col(score).cast("double").alias("v"))
-    per = df.where(" AND ".join(f"`{c}` IS NOT NULL" for c in (path, start, end, factor, score))).groupBy(path).agg(F.array_sort(F.collect_list(item)).alias("x"))
+    own = df.where(" AND ".join(f"`{c}` IS NOT NULL" for c in (path, start, end, factor, score)))
+    own = own.select(F.col(path).alias("p"), *(F.col(c).cast("double").alias(n) for c, n in ((start, "s"), (end, "e"))), F.col(id_col).cast("long").alias("i"), *(F.col(c).cast("double").alias(n) for c, n in ((factor, "f"), (score, "v"))))
 
-    def step(kept, x):
-        last = F.try_element_at(kept, F.lit(-1))
-        hit = overlap(last["s"], last["e"], last["f"], x["s"], x["e"], x["f"], method) > most
-        return F.when(F.size(kept) == 0, F.array(x)).when(~hit, F.concat(kept, F.array(x))).when(last["v"] < x["v"], F.concat(F.slice(kept, F.lit(1), F.size(kept) - 1), F.array(x))).otherwise(kept)
+    def shared(a: tuple, b: tuple) -> float:
+        common = (min(a[2], b[2]) - max(a[1], b[1])) / a[4]
+        d1, d2 = (a[2] - a[1]) / a[4], (b[2] - b[1]) / b[4]
+        whole = max(d1, d2) if method == "fraction" else d1 + d2 - common
+        return common / whole if common > 0 and whole else 0.0
 
-    kept = F.aggregate("x", F.slice("x", 1, 0), step)
-    return per.select(path, F.explode(kept).alias("k")).select(path, F.col("k.id").alias(id_col), F.col("k.s").alias(start), F.col("k.e").alias(end), F.col("k.f").alias(factor), F.col("k.v").alias(score))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None
+        names = ["p", "s", "e", "i", "f", "v"]
+        for b in batches:
+            out = []
+            for x in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if last is None or last[0] != x[0] or shared(last, x) <= most:
+                    out += [last] if last else []
+                    last = x
+                elif last[5] < x[5]:
+                    last = x
+            yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*out, strict=True) if out else [[]] * 6, b.schema.types, strict=True)], names=names)
+        if last:
+            yield pa.record_batch([pa.array([c], t) for c, t in zip(last, b.schema.types, strict=True)], names=names)
 
+    kind = dict(df.dtypes)[path]
+    kept = own.repartition("p").sortWithinPartitions("p", "s", "e", "i").mapInArrow(run, f"p {kind}, s double, e double, i long, f double, v double")
+    return kept.select(F.col("p").alias(path), F.col("i").alias(id_col), F.col("s").alias(start), F.col("e").alias(end), F.col("f").alias(factor), F.col("v").alias(score))
 
-def duration_batches(df: DataFrame, lane: str, order: str, duration: str, most: float) -> DataFrame:
-    """Consecutive rows of a lane in batches of at most so long in all; a longer row is a batch of its own."""
-    import pandas as pd
 
-    kind = ", ".join(f"`{c}` {t}" for c, t in df.dtypes)
+def duration_batches(df: DataFrame, lane: str, order: str, duration: str, most: float, most_rows: int | None = None) -> DataFrame:
+    """Consecutive rows of a lane, in the given order, in batches of at most so long (and so many rows) in all; a longer row is a batch of
+    its own. A null duration is 0. A pass over sorted rows that holds two numbers; with the length as order and tokens
+    as duration it makes batches of rows of like length."""
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order, kind="stable")
-        batch, held, out = 0, 0.0, []
-        for i, d in enumerate(pdf[duration].fillna(0.0)):
-            if i and held + d > most:
-                batch, held = batch + 1, 0.0
-            held += d
-            out.append(batch)
-        return pdf.assign(batch=out)
-
-    return df.groupBy(lane).applyInPandas(run, kind + ", batch long")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, batch, held, n = object(), 0, 0.0, 0
+        for b in batches:
+            out = []
+            for k, d in zip(b.column(lane).to_pylist(), b.column(duration).to_pylist(), strict=True):
+                d = d or 0.0
+                if k != now:
+                    now, batch, held, n = k, 0, 0.0, 0
+                elif held + d > most or (most_rows and n >= most_rows):
+                    batch, held, n = batch + 1, 0.0, 0
+                held, n = held + d, n + 1
+                out.append(batch)
+            yield pa.record_batch([*b.columns, pa.array(out, pa.int64())], names=[*b.schema.names, "batch"])
+
+    kind = ", ".join(f"`{c}` {t}" for c, t in df.dtypes)
+    return df.repartition(lane).sortWithinPartitions(lane, order).mapInArrow(run, kind + ", batch long")
 
 
 def file_stats(df: DataFrame, path: str, kept: str, hours: str) -> DataFrame:

@@ -45,14 +45,13 @@ def corpora_of(config: dict) -> list[tuple[str, str, str]]:
 
 
 def manifest_chunks(df: DataFrame, order: str, chunks: int) -> DataFrame:
-    """Rows in `chunks` consecutive parts of equal size, the last with the rest. Meant for manifests: lists of files."""
+    """Rows in `chunks` consecutive parts of equal size, the last with the rest; the order tells all rows apart."""
     from loomline.operators.analytics import with_totals
-    from pyspark.sql import Window
+    from loomline.operators.records import numbered
 
-    n = with_totals(df, df.agg(F.count(F.lit(1)).alias("__n")))
+    n = with_totals(numbered(df, [order], "__row"), df.agg(F.count(F.lit(1)).alias("__n")))
     size = F.greatest(F.lit(1), F.floor(F.col("__n") / chunks))
-    row = F.row_number().over(Window.partitionBy().orderBy(order)) - 1
-    return n.withColumn("chunk", F.least(F.floor(row / size), F.lit(chunks - 1)).cast("int")).drop("__n")
+    return n.withColumn("chunk", F.least(F.floor(F.col("__row") / size), F.lit(chunks - 1)).cast("int")).drop("__n", "__row")
 
 
 def wav_manifest(spark: SparkSession, root: str) -> DataFrame:

@@ -7,27 +7,38 @@ import lzma
 from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from loomline.session import maybe_broadcast
+
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """(file, line_no, text) of plain, .gz or .xz text; line_no from 0 within each file, broken bytes replaced.
 
-    Files are numbered from their own start, so each file is one unit of work, as compressed ones are anyway.
+    Plain files are read in splits, so they may be of any size: lines are numbered within a split and shifted by the
+    lines of the splits before. Compressed files are one unit of work each.
     """
+    src = spark.read.option("lineSep", "\n").option("pathGlobFilter", "{*.gz,*[^z]}").text(path)
+    rows = src.select(F.expr("make_valid_utf8(value)").alias("text"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"), F.monotonically_increasing_id().alias("n"))
+    per = rows.groupBy("file", "at").agg(F.count(F.lit(1)).alias("lines"), F.min("n").alias("first"))
+    # one row for each split of a file
+    before = F.coalesce(F.sum("lines").over(Window.partitionBy("file").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = maybe_broadcast(per.select(F.col("file").alias("f"), F.col("at").alias("a"), "first", before.alias("before")))
+    met = rows.join(starts, (F.col("file") == F.col("f")) & (F.col("at") == F.col("a")))
+    return met.select("file", (F.col("before") + F.col("n") - F.col("first")).alias("line_no"), "text").unionByName(_packed_lines(spark, path))
+
+
+def _packed_lines(spark: SparkSession, path: str) -> DataFrame:
+    """read_lines() of .xz files, for which Spark has no codec."""
     import pandas as pd
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import gzip
-
         for pdf in batches:
             for name, data in zip(pdf.path, pdf.content, strict=True):
-                raw = io.BytesIO(data)
-                stream = lzma.open(raw) if name.endswith(".xz") else gzip.open(raw) if name.endswith(".gz") else raw
                 held: list[str] = []
                 at = 0
-                for line in stream:
+                for line in lzma.open(io.BytesIO(data)):
                     held.append(line.decode("utf-8", errors="replace").rstrip("\n"))
                     if len(held) >= 10_000:
                         yield pd.DataFrame({"file": name, "line_no": range(at, at + len(held)), "text": held})
@@ -35,7 +46,8 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
                 if held:
                     yield pd.DataFrame({"file": name, "line_no": range(at, at + len(held)), "text": held})
 
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(run, "file string, line_no long, text string")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.xz").load(path)
+    return files.select("path", "content").mapInPandas(run, "file string, line_no long, text string")
 
 
 def read_text(spark: SparkSession, path: str) -> DataFrame:
@@ -127,7 +139,7 @@ def split_row(line: Column, meta_fields: int = 5) -> Column:
 
 def lookup_language(df: DataFrame, lang: str, table: DataFrame, source: str, target: str) -> DataFrame:
     """df with `target` of a fixed equivalence table; a language without an entry stands for itself."""
-    small = F.broadcast(table.select(F.col(source).alias("__k"), F.col(target).alias("__v")).dropDuplicates(["__k"]))
+    small = maybe_broadcast(table.select(F.col(source).alias("__k"), F.col(target).alias("__v")).dropDuplicates(["__k"]))
     return df.join(small, df[lang] == small["__k"], "left").withColumn(target, F.coalesce("__v", lang)).drop("__k", "__v")
 
 
