@@ -120,8 +120,9 @@ def normalize_line(c: Column) -> Column:
     return balance_quotes(remove_non_printing(replace_unicode_punct(normalize_whitespace(c))))
 
 
-def normalize_spacing(c: Column, language: str = "en") -> Column:
-    """Spacing and quotation marks as a tokenizer of the language expects them."""
+def spacing_steps(language: str = "en") -> list[tuple[str, str]]:
+    """Patterns and replacements, in order, that set spacing and quotation marks as a tokenizer of the language expects them."""
+    # The rules as specified.
     steps: list[tuple[str, str]] = [
         (r"\r", ""), (r"\(", " ("), (r"\)", ") "), (r"\) ([.!:?;,])", ")$1"), (r"\( ", "("), (r" \)", ")"), (r"(\d) %", "$1%"), (r" ([:;])", "$1"), ("`", "'"), ("''", ' " '),
         ("[„“”]", '"'), ("–", "-"), ("—", " - "), ("´", "'"), ("[‘‚’]", '"'), ("…", "..."), (" « ", ' "'), ("« ?", '"'), (" » ", '" '), (" ?»", '"'),
@@ -129,7 +130,12 @@ def normalize_spacing(c: Column, language: str = "en") -> Column:
     ]
     steps += [(r'"([,.]+)', '$1"')] if language == "en" else [] if language in ("cs", "cz") else [(',"', '",'), (r'(\.+)"(\s*[^<])', '"$1$2')]
     steps += [(r"(\d) (\d)", "$1,$2" if language in ("de", "es", "cz", "cs", "fr") else "$1.$2")]
-    for pattern, by in steps:
+    return steps
+
+
+def normalize_spacing(c: Column, language: str = "en") -> Column:
+    """Spacing and quotation marks as a tokenizer of the language expects them."""
+    for pattern, by in spacing_steps(language):
         c = F.regexp_replace(c, pattern, by)
     return c
 
@@ -142,10 +148,16 @@ def replace_hashtags(c: Column, by: str = " ") -> Column:
     return F.regexp_replace(c, HASHTAG, by)
 
 
+def emoji_pattern(by: str = "") -> str:
+    """Emoji, keycaps and flags of regions, with the joiners, variation signs, skin tones and tags that belong to them; removed
+    without trace, also the white space after them."""
+    tail = r"[\x{FE0E}\x{FE0F}\x{200D}\x{1F3FB}-\x{1F3FF}\x{E0020}-\x{E007F}]"
+    one = rf"(?:{EMOJI}|[0-9#*]\x{{FE0F}}?\x{{20E3}})"
+    return rf"{one}{tail}*{SPACE}*" if by == "" else rf"{one}{tail}*"
+
+
 def demojize(c: Column, by: str = "") -> Column:
-    """Emoji, with the joiners, variation signs and skin tones that belong to them, and white space after them."""
-    tail = r"[\x{FE0E}\x{FE0F}\x{200D}\x{1F3FB}-\x{1F3FF}]"
-    return F.regexp_replace(c, rf"{EMOJI}{tail}*{SPACE}*" if by == "" else rf"{EMOJI}{tail}*", by)
+    return F.regexp_replace(c, emoji_pattern(by), by)
 
 
 def char_ngrams(c: Column, order: int) -> Column:

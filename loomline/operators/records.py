@@ -82,7 +82,7 @@ def sequence_position(tokens: Column, phrase: Column) -> Column:
     """Place (from 0) of the first occurrence of a sequence of tokens, -1 if there is none or the phrase is empty."""
     k = F.size(phrase)
     starts = F.filter(F.sequence(F.lit(0), F.greatest(F.size(tokens) - k, F.lit(0))), lambda i: F.slice(tokens, i + 1, F.greatest(k, F.lit(1))) == phrase)
-    return F.when(k > 0, F.coalesce(F.get(starts, 0), F.lit(-1))).when(phrase.isNotNull() & tokens.isNotNull(), -1)
+    return F.when(tokens.isNotNull() & phrase.isNotNull(), F.when(k > 0, F.coalesce(F.get(starts, 0), F.lit(-1))).otherwise(F.lit(-1)))
 
 
 # ---------------------------------------------------------------- numbering

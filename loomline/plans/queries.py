@@ -77,6 +77,16 @@ def _sql_count(x: str, pattern: str) -> str:
     return f"len(regexp_extract_all({x}, {_q(pattern)}))"
 
 
+def _sql_spacing(x: str, language: str) -> str:
+    for pattern, by in T.spacing_steps(language):
+        x = f"regexp_replace({x}, {_q(pattern)}, {_q(by.replace('$', chr(92)))}, 'g')"
+    return x
+
+
+def _sql_emoji(x: str, by: str) -> str:
+    return f"regexp_replace({x}, {_q(T.emoji_pattern(by))}, {_q(by)}, 'g')"
+
+
 _LINES = "(SELECT doc_id, lang, source, unnest(string_split(text, chr(10))) AS line FROM documents WHERE text IS NOT NULL)"
 
 
@@ -129,12 +139,12 @@ def q_normal_form(spark, d):
     return table(spark, d, "documents").select("doc_id", T.nfkc()(F.col("text")).alias("nfkc"))
 
 
-@query()
+@query(f"SELECT line_id, {_sql_spacing('src', 'en')} AS en, {_sql_spacing('src', 'fr')} AS fr FROM mining_lines")
 def q_spacing(spark, d):
     return table(spark, d, "mining_lines").select("line_id", T.normalize_spacing(F.col("src"), "en").alias("en"), T.normalize_spacing(F.col("src"), "fr").alias("fr"))
 
 
-@query()
+@query(f"SELECT doc_id, {_sql_emoji('text', '')} AS plain, {_sql_emoji('text', ' ')} AS spaced FROM documents")
 def q_demojize(spark, d):
     return table(spark, d, "documents").select("doc_id", T.demojize(F.col("text")).alias("plain"), T.demojize(F.col("text"), " ").alias("spaced"))
 
@@ -304,14 +314,15 @@ def q_pair_dedup(spark, d):
     return D.first_of(x, ["corpus", "a", "b"], "line_id").select("line_id", "corpus")
 
 
-def _held_sql(mode: str) -> str:
+def _held_sql(mode: str, accents: bool = False) -> str:
+    n = lambda c: f"strip_accents({_sql_dedup(_sql_ws(c))})" if accents else _sql_dedup(_sql_ws(c))
     tests = {"src": ["a"], "tgt": ["b"], "both": ["a", "b"], "neither": []}[mode]
     keys = [["a", "b"], *([t] for t in tests)]
     conds = " AND ".join(
         f"t.line_id = (SELECT min(line_id) FROM o WHERE o.lang_dir = t.lang_dir AND {' AND '.join(f'o.{c} = t.{c}' for c in k)}) AND NOT EXISTS (SELECT 1 FROM e WHERE e.lang_dir = t.lang_dir AND {' AND '.join(f'e.{c} = t.{c}' for c in k)})"
         for k in keys)
-    return f"""WITH o AS (SELECT DISTINCT line_id, lang_dir, {_sql_dedup(_sql_ws('src'))} AS a, {_sql_dedup(_sql_ws('tgt'))} AS b FROM train_lines WHERE {_sql_dedup(_sql_ws('src'))} <> '' AND {_sql_dedup(_sql_ws('tgt'))} <> ''),
-e0 AS (SELECT lang_dir, {_sql_dedup(_sql_ws('src'))} AS a, {_sql_dedup(_sql_ws('tgt'))} AS b FROM eval_lines WHERE {_sql_dedup(_sql_ws('src'))} <> '' AND {_sql_dedup(_sql_ws('tgt'))} <> ''),
+    return f"""WITH o AS (SELECT DISTINCT line_id, lang_dir, {n("src")} AS a, {n("tgt")} AS b FROM train_lines WHERE {n("src")} <> '' AND {n("tgt")} <> ''),
+e0 AS (SELECT lang_dir, {n("src")} AS a, {n("tgt")} AS b FROM eval_lines WHERE {n("src")} <> '' AND {n("tgt")} <> ''),
 e AS (SELECT * FROM e0 UNION ALL SELECT split_part(lang_dir, '-', 2) || '-' || split_part(lang_dir, '-', 1), b, a FROM e0)
 SELECT t.line_id, t.lang_dir FROM o t WHERE {conds}"""
 
@@ -485,7 +496,8 @@ def q_holdout(spark, d):
     return S.holdout(table(spark, d, "sent_vectors").select("vec_id", "lang"), "lang", 4, 1, 5)
 
 
-@query()
+@query("""WITH x AS (SELECT DISTINCT sent_id, ('0x' || substr(md5(sent_id || ':1'), 1, 8))::BIGINT % 8 AS lane FROM test_input_de), r AS (SELECT *, row_number() OVER (PARTITION BY lane ORDER BY md5(sent_id || ':0'), sent_id) - 1 AS r FROM x)
+SELECT sent_id, lane, r // 32 AS batch, r % 32 AS place FROM r""")
 def q_batches(spark, d):
     return S.shuffled_batches(table(spark, d, "test_input_de").select("sent_id").distinct(), "sent_id", 32, 8)
 
@@ -694,12 +706,30 @@ def _audio(spark, d):
     return x.select("line_id", F.col("m.score").alias("score"), V.parse_segment(F.col("m.src")).alias("s")).where("s.kind = 'audio'").select("line_id", "score", "s.path", "s.start", "s.end", "s.factor")
 
 
-@query()
+_AUDIO = r"""WITH RECURSIVE m AS (SELECT line_id, arg_max({'src': src, 'score': score}, loaded_at) AS m FROM mining_lines WHERE score IS NOT NULL AND NOT isnan(score) GROUP BY line_id),
+t AS (SELECT line_id, m.score AS score, m.src AS src, regexp_matches(m.src, '^[^|]*\|[0-9]+\|[0-9]+\|[0-9]+$') AS bar FROM m WHERE regexp_matches(m.src, '^[^|]*\|[0-9]+\|[0-9]+\|[0-9]+$') OR regexp_matches(m.src, '^[^ ]* [0-9]+ [0-9]+ [^ ]*$')),
+x AS (SELECT line_id, score, bar, string_split(src, CASE WHEN bar THEN '|' ELSE ' ' END) AS p FROM t),
+a AS (SELECT line_id, score, p[1] AS path, p[2]::DOUBLE AS s, p[3]::DOUBLE AS e, CASE WHEN bar THEN p[4]::DOUBLE ELSE 16 END AS f FROM x),
+"""
+
+
+@query(_AUDIO + """o AS (SELECT *, row_number() OVER (PARTITION BY path ORDER BY s, e, line_id) AS k FROM a),
+r AS (SELECT path, k, line_id, s, e, f, score, 1 AS g FROM o WHERE k = 1 UNION ALL
+ SELECT z.path, z.k, CASE WHEN hit AND NOT up THEN z.li ELSE z.line_id END, CASE WHEN hit AND NOT up THEN z.ls ELSE z.s END, CASE WHEN hit AND NOT up THEN z.le ELSE z.e END, CASE WHEN hit AND NOT up THEN z.lf ELSE z.f END,
+  CASE WHEN hit AND NOT up THEN z.lv ELSE z.score END, CASE WHEN hit THEN z.g ELSE z.g + 1 END FROM (
+  SELECT o.*, r.line_id AS li, r.s AS ls, r.e AS le, r.f AS lf, r.score AS lv, r.g, r.score < o.score AS up,
+   coalesce((least(r.e, o.e) - greatest(r.s, o.s)) / r.f > 0 AND ((least(r.e, o.e) - greatest(r.s, o.s)) / r.f) / nullif(greatest((r.e - r.s) / r.f, (o.e - o.s) / o.f), 0) > 0.2, false) AS hit
+  FROM r JOIN o ON o.path = r.path AND o.k = r.k + 1) z)
+SELECT path, l.line_id AS line_id, l.s AS start, l.e AS "end", l.f AS factor, l.score AS score FROM (SELECT path, g, arg_max({'line_id': line_id, 's': s, 'e': e, 'f': f, 'score': score}, k) AS l FROM r GROUP BY path, g)""")
 def q_segment_overlap(spark, d):
     return G.drop_overlaps(_audio(spark, d), "path", "start", "end", "factor", "score", "line_id")
 
 
-@query()
+@query(_AUDIO + """n AS (SELECT greatest(1, count(*) // 10000) AS n FROM a), l AS (SELECT line_id, (e - s) / f / 1000 AS seconds, ('0x' || substr(md5(path || ':0'), 1, 8))::BIGINT % n AS lane FROM a, n),
+o AS (SELECT *, row_number() OVER (PARTITION BY lane ORDER BY line_id) AS k FROM l),
+r AS (SELECT lane, k, line_id, seconds, seconds AS held, 0::BIGINT AS batch FROM o WHERE k = 1 UNION ALL
+ SELECT o.lane, o.k, o.line_id, o.seconds, CASE WHEN r.held + o.seconds > 10 THEN o.seconds ELSE r.held + o.seconds END, CASE WHEN r.held + o.seconds > 10 THEN r.batch + 1 ELSE r.batch END FROM r JOIN o ON o.lane = r.lane AND o.k = r.k + 1)
+SELECT lane, line_id, seconds, batch FROM r""")
 def q_duration_batches(spark, d):
     x = _audio(spark, d).withColumn("seconds", V.duration(F.col("start"), F.col("end"), F.col("factor")) / 1000)
     x = x.withColumn("lane", S.md5_bucket(max(1, x.count() // 10_000), "path"))  # lanes of some ten thousand rows
@@ -960,15 +990,22 @@ def q_monolingual(spark, d):
 
 @query()
 def q_bitext_filtering(spark, d):
-    return P.bitext_filtering(table(spark, d, "mining_lines"))
+    from loomline.operators import language as L
+    from loomline.plans.more_queries import _LANGS
 
+    model = L.fit_languages(table(spark, d, "documents"), "text", "lang", _LANGS)
+    bad = ["idiot", "moron", "cretin", "loser", "stupid", "bastard"]
+    return P.bitext_filtering(table(spark, d, "mining_lines"), model, _LANGS, words=(bad, bad), fuzzy=True)
 
-@query()
+
+@query(_knn_sql().replace("rn <= K", "rn <= 1").replace("margin >= 1.0", "margin >= 1.06").replace("round(margin, 9)", "margin") + """, a AS (SELECT * FROM f UNION ALL SELECT * FROM g)
+SELECT x.corpus AS x_corpus, x.line_no AS x_line_no, y.corpus AS y_corpus, y.line_no AS y_line_no, max(score) AS score FROM a JOIN sent_vectors x ON x.vec_id = x_id JOIN sent_vectors y ON y.vec_id = y_id GROUP BY 1, 2, 3, 4""")
 def q_global_mining(spark, d):
     return P.global_mining(table(spark, d, "neighbors"), table(spark, d, "sent_vectors"))
 
 
-@query()
+@query("WITH h AS (" + _held_sql("both", True) + """), n AS (SELECT lang_dir, count(*) AS n FROM h GROUP BY lang_dir), k AS (SELECT lang_dir, least(ceil(n / 250), ceil((SELECT sum(n) FROM n) / 5000))::BIGINT AS k FROM n)
+SELECT h.lang_dir, ('0x' || substr(md5(line_id || ':0'), 1, 8))::BIGINT % k AS shard, line_id AS id FROM h JOIN k ON h.lang_dir = k.lang_dir""")
 def q_prepare_data(spark, d):
     return P.prepare_data(table(spark, d, "train_lines"), table(spark, d, "eval_lines"))
 
