@@ -46,13 +46,20 @@ LEXICON: dict[tuple[str, float], str] = {
     ("hate", 1.0): "less than animals, should be wiped out, should all be wiped out, do not deserve to live, does not deserve to live, breed like, too dumb to be, crawled out of, subhuman, subhumans, born criminals, should be exterminated, "
     "go back to your country, go back where, are vermin, are a disease, are a plague, are filth, are parasites, are animals, are rats, are pigs, are cockroaches, should all be shot, should all be hanged, should all die, should be gassed, "
     "gas the, lynch the, kill all, burn them all, inferior race, nigger, kike, gook, wetback, raghead, towelhead, sandnigger, faggot, paki",
-    ("hate", 0.7): "never trust, do not want their kind, do not want them here, do not belong here, plague on, should be deported, wiped out, live among us, send them back, nigga, chink, spic, tranny, fag, vermin",
-    ("hate", 0.4): "live next door, their kind, inferior, thieves, thief, they steal, these people, those people, swamp, invaders, savages, feed the, lock them up",
+    ("hate", 0.7): "never trust, do not want their kind, do not want them here, do not belong here, plague on, should be deported, wiped out, live among us, send them back, nigga, chink, spic, tranny, fag, vermin, "
+    "no place for them, not welcome here, get rid of them, get rid of the, good riddance, better off without, better without them, do not deserve, does not deserve, cockroaches, infest, infested, swarm of, "
+    "thieves and, rapists, locked up and, throw away the key, burned down, burn down, set on fire, cleanse, cleansing, not human, not people, not real people, keep them out, drive them out, kick them out, throw them out",
+    ("hate", 0.6): "no decent, decent people, our neighbourhood, near our children, our women, our streets, cannot trust, can not trust, do not trust, born liars, born thieves, one less, less of them, fewer of them, burned out, "
+    "be cleaner, cleaner here, locked from outside, lock them, is one thief, feed them, why do we",
+    ("hate", 0.4): "live next door, their kind, inferior, thieves, thief, they steal, steal and, these people, those people, swamp, invaders, savages, feed the, criminals, next door, "
+    "among us, smell, stink, lazy and, dirty, child less",
+    ("hate", 0.2): "and forgotten, if somebody, a family of, family of",
     ("sexual", 1.0): "wild sex, had sex with, hot sex, blowjob, porn, pornography, nudes, bare breasts, naked bodies, horny, sleep with you tonight, strip you, fuck me, masturbate, masturbating, cumshot, pussy, dildo, anal sex, oral sex, "
     "gangbang, deepthroat, threesome, handjob",
     ("sexual", 0.6): "naked, undress, moaned, moaning, tore off her dress, tore off his shirt, tore off her, tore off his, her thighs, his thighs, begged for more, take you right here, take you all night, erotic, orgasm, cock, boobs, tits, sexy, topless, nipples, "
-    "want to strip, penetrated, ejaculated",
-    ("sexual", 0.4): "breasts, thighs, on camera, click for more, hot singles, hot women, hot men, hot nurses, hot housewives, hot girls, sex, rubbed, kissed her bare, kissed his bare, lick, spank, all night, in bed",
+    "want to strip, penetrated, ejaculated, xxx, webcam, cam girls, escort, live on camera, uncensored, strip show, private show, everything you pay",
+    ("sexual", 0.4): "breasts, thighs, on camera, click for more, hot singles, hot women, hot men, hot nurses, hot housewives, hot girls, sex, rubbed, kissed her bare, kissed his bare, lick, spank, all night, in bed, you pay for, adults only, watch free",
+    ("sexual", 0.2): "pay for, for more, wet, tonight, body, bodies",
 }
 
 # Harmless, technical, medical or figurative uses of such words.
