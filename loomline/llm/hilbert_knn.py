@@ -282,10 +282,12 @@ def similar_vectors(
     # at most curves * (k + 1) candidates meet here per vector
     merged = F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list("near")))), 1, k + 1)
     best = written(near.groupBy("id").agg(merged.alias("near"), F.max("crowded").alias("crowded")), "p2-near")
+    scratch = [best]
     crowded = best.where("crowded").select("id")
     if crowded.limit(1).count():
         vectors = reps.select(F.col("rep").alias("id"), "vec")
         asked = written(vectors.join(crowded, "id", "left_semi"), "p2-crowded")
+        scratch.append(asked)
         best = best.where("NOT crowded").select("id", "near").unionByName(_exact(asked, vectors, dim, k + 1, block))
     multi = reps.where("size(ids) > 1").select("h1", "h2", "rep", "ids")
     other = multi.select(F.col("rep").alias("other"), F.col("ids").alias("copies"))
@@ -297,6 +299,8 @@ def similar_vectors(
     listed = written(
         listed.select("id", "h1", "h2", "copied", F.slice(F.array_sort(F.coalesce("near", F.expr("array()"))), 1, k + 1).alias("near")), "p2-lists",
     )
+    for t in scratch:  # read for the last time
+        dropped(t)
     members = skew_join(base.select("id", "h1", "h2"), listed.where("copied").select("h1", "h2", "near"), ["h1", "h2"])
     every = listed.where("NOT copied").select("id", "near").unionByName(members.select("id", "near").distinct())
     kept = F.slice(F.filter("near", lambda x: x["id"] != F.col("id")), 1, k)

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomline.llm.canonical import canonical_words
-from loomline.session import BROADCAST_ROWS, maybe_broadcast, skew_join, written
+from loomline.session import BROADCAST_ROWS, dropped, maybe_broadcast, skew_join, written
 
 #: Words per shingle. The general rule of five would lose partners at one edit in five words
 #: (five edits destroy up to 25 shingles), two words leave a usable bound for all lengths.
@@ -205,6 +205,8 @@ def side_links(evals: DataFrame, train: DataFrame, id_col: str = "line_id") -> t
     close = written(enough.select("e", "t", "a"), "p3-close")
     texts = t_side.join(maybe_broadcast(close.select(F.col("t").alias("c")).distinct()), "c", "left_semi").groupBy("c").agg(F.min("t").alias("b"))
     pairs = written(close.join(texts.withColumnRenamed("c", "t"), "t").select("e", "t", "a", "b").mapInArrow(_within, "e long, t long"), "p3-pairs")
+    for table in (e_text, wanted, t_known, order, index, close):  # read for the last time
+        dropped(table)
     return e_side.select("id", "c"), t_side.select("id", "c"), pairs
 
 
