@@ -431,7 +431,8 @@ def q_exact_neighbors(spark, d):
     return M.exact_neighbors(v.where("id % 20 = 0"), v, 128, 5).select("q_id", "x_id", "rank")
 
 
-@query()
+@query(f"""WITH v AS ({_USABLE}), c AS (SELECT a.vec_id AS q_id, b.vec_id AS x_id, round(list_cosine_similarity(a.e, b.e), 10) AS cos FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 20 = 0)
+SELECT q_id, x_id, rank, cos FROM (SELECT q_id, x_id, cos, row_number() OVER (PARTITION BY q_id ORDER BY cos DESC, x_id) AS rank FROM c) WHERE rank <= 5""")
 def q_cell_neighbors(spark, d):
     v = _usable(spark, d)
     return M.cell_neighbors(v.where("id % 20 = 0"), v, 128, 5)
